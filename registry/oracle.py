@@ -642,9 +642,9 @@ def all_statements() -> dict[str, str]:
             ),
         ),
         "topup_monthly": _statement(
-            usage_june, _select(["analytic_id", "register_date", "ddate", *_usage(TOPUP)], "topup_month")
+            usage_june, _select(["analytic_id", "register_date", *_usage(TOPUP)], "topup_month")
         ),
-        "usage_monthly_sums": _statement(usage_june, _select(["analytic_id", "ddate", *_usage(USAGE)], "usage_month")),
+        "usage_monthly_sums": _statement(usage_june, _select(["analytic_id", *_usage(USAGE)], "usage_month")),
         "usage_datamart": _statement(usage_june, _select(datamart_cols, "usage_monthly")),
         "append_if_newer": _statement(
             _usage_tables([LABEL_MONTH, "1998-05-31"]), _select(datamart_cols, "usage_monthly")

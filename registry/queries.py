@@ -363,7 +363,8 @@ def append_score_table(spark, folder):
     """Two months, the second of them written twice."""
     path = f"{shared_folder(spark, 'scoretable')}/score_table"
     for lag in (2, 1, 1):
-        tables.append_score_table(ranking.rank_scores(_scores(spark, folder), months.month_end(v.AS_OF, lag)), path)
+        month = months.month_end(v.AS_OF, lag)
+        tables.append_score_table(ranking.rank_scores(_scores(spark, folder), month), path, month)
     return tables.read_table(spark, path, CAMPAIGN_SCHEMA)
 
 
@@ -380,13 +381,28 @@ def build_scoring_set(spark, folder):
 
 
 def train(spark, folder):
-    return jobs.train(_training_table(spark, folder), SMALL_MODEL).gains
+    t = v.monthly_tables(spark, folder, v.TRAINING_MONTH)
+    target = shared_folder(spark, "train")
+    return jobs.train_month(v.loans(spark, folder), t, v.AS_OF, target, SMALL_MODEL).gains
 
 
 def score_and_export(spark, folder):
-    fitted = model.train_classifier(_training_table(spark, folder), SMALL_MODEL)
-    written = write_feature_set(spark, folder)
-    return jobs.score_and_export(written, fitted, v.AS_OF, shared_folder(spark, "export"))
+    target = shared_folder(spark, "score")
+    usage_table = f"{target}/usage_monthly"
+    topup, usage = v.topup_daily(spark, folder, v.SCORING_MONTH, 3), v.usage_daily(spark, folder, v.SCORING_MONTH, 3)
+    for lag in (3, 2):
+        tables.append_if_newer(topup, usage, usage_table, v.AS_OF, lag)
+    return jobs.score_month(
+        topup,
+        usage,
+        usage_table,
+        v.profile(spark, folder, v.SCORING_MONTH),
+        v.topup_survey(spark, folder, v.SCORING_MONTH),
+        v.validity(spark, folder, v.SCORING_MONTH),
+        model.train_classifier(_training_table(spark, folder), SMALL_MODEL),
+        v.AS_OF,
+        target,
+    )
 
 
 # The result is rounded unless it is meant to be compared as it is.

@@ -7,8 +7,8 @@ SQL in ``oracle.py`` can state the same table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,9 +80,12 @@ def usage_daily(spark: SparkSession, folder: str, month: date | None = None, mon
 
 
 def usage_monthly(spark: SparkSession, folder: str, month: date, months: int = 3) -> DataFrame:
-    return usage_datamart(
-        topup_daily(spark, folder, month, months), usage_daily(spark, folder, month, months), month, months
-    )
+    """The datamart of several months; a month filter leaves the other months unread."""
+    marts = []
+    for k in range(months):
+        one = month_end(month, k)
+        marts.append(usage_datamart(topup_daily(spark, folder, one), usage_daily(spark, folder, one), one))
+    return reduce(DataFrame.unionByName, marts)
 
 
 def _customers(spark: SparkSession, folder: str, month: date, months: int) -> DataFrame:

@@ -7,27 +7,22 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subscore.functions.months import month_slice
+from subscore.functions.months import month_end, month_slice
 from subscore.schemas import TOPUP, USAGE, USAGE_SOURCES
 
-MONTH_KEY = ["analytic_id", "ddate"]
 
+def topup_monthly(topup_daily: DataFrame, month: date) -> DataFrame:
+    """Top-up count and value statistics per subscription in the month of ``month``.
 
-def _by_month(daily: DataFrame, month: date, months: int) -> DataFrame:
-    return month_slice(daily, month, lag=0, months=months).withColumn("ddate", F.last_day("ddate"))
-
-
-def topup_monthly(topup_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
-    """Top-up count and value statistics per subscription and month.
-
-    ``months`` > 1 aggregates that many months, ending at ``month``, in one
-    pass. The deviation is the sample one, null for a single top-up. All
-    aggregates combine on the map side, so a busy subscription costs one row
-    per map task in the shuffle.
+    The deviation is the sample one, null for a single top-up. All aggregates
+    combine on the map side, so a busy subscription costs one row per map task
+    in the shuffle.
     """
     aggregates = []
-    for source, suffix in (("top_up_tran", "tran"), ("top_up_value", "value")):
-        total = "sum_monthly_tran_topup" if suffix == "tran" else "sum_monthly_topup_value"
+    for source, total, suffix in (
+        ("top_up_tran", "sum_monthly_tran_topup", "tran"),
+        ("top_up_value", "sum_monthly_topup_value", "value"),
+    ):
         aggregates += [
             F.sum(source).alias(total),
             F.avg(source).alias(f"mean_monthly_topup_{suffix}"),
@@ -36,28 +31,27 @@ def topup_monthly(topup_daily: DataFrame, month: date, months: int = 1) -> DataF
             F.max(source).alias(f"max_monthly_topup_{suffix}"),
         ]
     return (
-        _by_month(topup_daily, month, months)
+        month_slice(topup_daily, month, lag=0)
         .withColumn("register_date", F.to_date("register_date"))
-        .groupBy("analytic_id", "register_date", "ddate")
+        .groupBy("analytic_id", "register_date")
         .agg(*aggregates)
     )
 
 
-def usage_monthly_sums(usage_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
-    """Data, voice and SMS totals per subscriber (not subscription) and month."""
+def usage_monthly_sums(usage_daily: DataFrame, month: date) -> DataFrame:
+    """Data, voice and SMS totals per subscriber (not subscription) in the month of ``month``."""
     return (
-        _by_month(usage_daily, month, months)
-        .groupBy(*MONTH_KEY)
+        month_slice(usage_daily, month, lag=0)
+        .groupBy("analytic_id")
         .agg(*[F.sum(source).alias(name) for name, source in USAGE_SOURCES.items()])
     )
 
 
-def usage_datamart(topup_daily: DataFrame, usage_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
-    """Top-ups and usage side by side, one row per subscription and month.
+def usage_datamart(topup_daily: DataFrame, usage_daily: DataFrame, month: date) -> DataFrame:
+    """Top-ups and usage of a month side by side, one row per subscription.
 
     Usage is known per subscriber only: it repeats for each subscription that
     topped up, and a subscriber without top-up gets a null ``register_date``.
     """
-    topup = topup_monthly(topup_daily, month, months)
-    usage = usage_monthly_sums(usage_daily, month, months)
-    return topup.join(usage, MONTH_KEY, "full").select("analytic_id", "register_date", *TOPUP, *USAGE, "ddate")
+    both = topup_monthly(topup_daily, month).join(usage_monthly_sums(usage_daily, month), "analytic_id", "full")
+    return both.select("analytic_id", "register_date", *TOPUP, *USAGE, F.lit(month_end(month)).alias("ddate"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,9 +66,8 @@ def _attach(spine: DataFrame, right: DataFrame, month: date, right_month: str |
     if clash:
         raise ValueError(f"columns occur on both sides of the join: {sorted(clash)}")
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in SUBSCRIPTION_KEY})
-    match = F.col(spine_month) == F.lit(month)
-    for key in SUBSCRIPTION_KEY:
-        match = (F.col(key) == F.col(f"_right_{key}")) & match
+    same_key = reduce(and_, [F.col(k) == F.col(f"_right_{k}") for k in SUBSCRIPTION_KEY])
+    match = same_key & (F.col(spine_month) == F.lit(month))
     return spine.join(renamed, match, "left").drop(*[f"_right_{k}" for k in SUBSCRIPTION_KEY])
 
 

@@ -24,13 +24,14 @@ def label_bad_debtors(loans: DataFrame, as_of: date, lag: int = 1) -> DataFrame:
     return add_shifted_month(labelled, LABEL_TO_PROFILE_MONTHS)
 
 
-def drop_duplicated_subscribers(labelled: DataFrame) -> DataFrame:
+def drop_duplicated_subscribers(labelled: DataFrame, keep_unknown: bool = True) -> DataFrame:
     """Remove every row of a subscriber that occurs more than once.
 
     One aggregation instead of a count and an anti join: where a subscriber
     has a single row, ``any_value`` over the group is that row. It combines on
     the map side, so a subscriber with very many rows reaches the shuffle as
-    one row per map task. A null id equals no other, so such rows all stay.
+    one row per map task. A null id equals no other, so such rows all stay;
+    ``keep_unknown=False`` drops them, for callers that do so later anyway.
     """
     others = [c for c in labelled.columns if c != "analytic_id"]
     single = (
@@ -40,4 +41,6 @@ def drop_duplicated_subscribers(labelled: DataFrame) -> DataFrame:
         .filter(F.col("_rows") == 1)
         .select(*labelled.columns)
     )
+    if not keep_unknown:
+        return single
     return single.unionByName(labelled.filter(F.col("analytic_id").isNull()))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,14 +17,19 @@ SCORE_DIGITS = 4
 SLICE_DIGITS = 2  # hexadecimal digits: 256 slices per score
 
 
+def _div(dividend: Column, divisor: Column) -> Column:
+    """Whole-number division."""
+    return F.call_function("div", dividend, divisor)
+
+
 def _bucket(position: Column, rows: Column, buckets: int) -> Column:
     """Bucket of a zero-based position among ``rows`` rows, larger buckets first."""
-    size = F.floor(rows / F.lit(buckets))
+    size = _div(rows, F.lit(buckets))
     rest = rows - size * buckets
     in_large = rest * (size + 1)
     return (
-        F.when(position < in_large, F.floor(position / (size + 1)) + 1)
-        .otherwise(rest + F.floor((position - in_large) / F.greatest(size, F.lit(1))) + 1)
+        F.when(position < in_large, _div(position, size + 1) + 1)
+        .otherwise(rest + _div(position - in_large, F.greatest(size, F.lit(1))) + 1)
         .cast("int")
     )
 
@@ -39,7 +46,7 @@ def ntile_exact(
 
     ``buckets`` names each new column and its number of buckets. Ties are
     ordered by the MD5 of the ``tie_break`` text, then by that text; rows
-    without a score get no bucket.
+    without a score or group get no bucket.
 
     A global ``ntile`` window would bring all rows to one task. Instead:
 
@@ -51,9 +58,10 @@ def ntile_exact(
        20,001 rows per ``by`` group), then within each of those;
     3. number the rows inside each (score, slice) and add the offset.
 
-    The rows are shuffled once, by (score, slice), for both the join with the
-    offsets and the numbering. Any score gives exact ranks; scores rounded to
-    four digits, as ``score_subscribers`` returns them, also spread evenly.
+    The input is read twice, and its rows are shuffled once, by (score, slice),
+    for both the join with the offsets and the numbering. Any score gives exact
+    ranks; scores rounded to four digits, as ``score_subscribers`` returns
+    them, also spread evenly.
     """
     by = list(by)
     rank_key = -F.col(score) if descending else F.col(score)
@@ -65,9 +73,13 @@ def ntile_exact(
     ).withColumn("_hash", F.md5("_text"))
     rows = rows.withColumn("_slice", F.substring("_hash", 1, SLICE_DIGITS))
 
+    # The constant in coalesce is never used. It makes the column non-null, so that
+    # both readers of the counts get the same plan and share one exchange.
     coarse = F.round(F.least(F.greatest(F.col("_score").cast("double"), F.lit(-1.0)), F.lit(1.0)), SCORE_DIGITS)
+    coarse = F.coalesce(coarse, F.lit(1.0))
+    has_rank = reduce(and_, [F.col(c).isNotNull() for c in [*by, "_score"]])
     counts = (
-        rows.filter(F.col("_score").isNotNull())
+        rows.filter(has_rank)
         .groupBy(*by, "_score", "_slice")
         .agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("_coarse", coarse)

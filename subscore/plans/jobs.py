@@ -17,10 +17,15 @@ from subscore.operators.derive import derive_features
 from subscore.operators.features import (
     attach_lags,
     attach_snapshots,
+    duplicated_keys,
     label_spine_with_profile,
     profile_history,
+    profile_snapshot,
     profile_spine,
+    survey_snapshot,
     usage_history,
+    usage_snapshot,
+    validity_snapshot,
 )
 from subscore.operators.labels import drop_duplicated_subscribers, label_bad_debtors
 from subscore.operators.metrics import auc, gains_lift, roc_points
@@ -40,14 +45,20 @@ from subscore.sources.tables import (
     append_if_newer,
     append_score_table,
     export_campaign_list,
+    read_table,
     write_feature_set,
+    write_report,
     write_scores,
 )
 
 
 @dataclass(frozen=True)
 class MonthlyTables:
-    """The monthly tables from which features are built."""
+    """The monthly tables from which features are built.
+
+    Each holds one row per subscription and month. A repeated key repeats
+    feature rows; ``check_keys`` turns that into an error.
+    """
 
     profile: DataFrame
     usage_monthly: DataFrame
@@ -55,6 +66,23 @@ class MonthlyTables:
     validity: DataFrame
 
 
+def check_keys(tables: MonthlyTables, month: date) -> None:
+    """Fail if a subscription repeats in a table of ``month``.
+
+    Counts keys only, so it costs a narrow scan and shuffle per table.
+    """
+    snapshots = {
+        "profile": profile_snapshot(tables.profile, month),
+        "usage_monthly": usage_snapshot(tables.usage_monthly, month),
+        "topup_survey": survey_snapshot(tables.topup_survey, month),
+        "validity": validity_snapshot(tables.validity, month),
+    }
+    known = F.col("analytic_id").isNotNull() & F.col("register_date").isNotNull()
+    for name, snapshot in snapshots.items():
+        if not duplicated_keys(snapshot.filter(known), SUBSCRIPTION_KEY).isEmpty():
+            raise ValueError(f"{name} repeats a subscription in {month}")
+
+
 def _features(
     spine: DataFrame,
     tables: MonthlyTables,
@@ -84,7 +112,7 @@ def build_training_set(
 ) -> DataFrame:
     """Labelled feature table of the label month one month before ``as_of``."""
     label_lag = lag + 1
-    labels = drop_duplicated_subscribers(label_bad_debtors(loans, as_of, label_lag))
+    labels = drop_duplicated_subscribers(label_bad_debtors(loans, as_of, label_lag), keep_unknown=False)
     month = month_end(as_of, label_lag + LABEL_TO_PROFILE_MONTHS)
     spine = label_spine_with_profile(labels, tables.profile, month)
     return _features(spine, tables, month, True, validity_features, None)
@@ -115,20 +143,20 @@ class TrainingResult:
     gains: DataFrame
 
 
-def train(
-    training_set: DataFrame, settings: ModelSettings = ModelSettings(), model_path: str | None = None
-) -> TrainingResult:
+def train(training_set: DataFrame, folder: str, settings: ModelSettings = ModelSettings()) -> TrainingResult:
     """Sample, split, fit, and measure on the part held out.
 
-    ``training_set`` should be a written table (``write_feature_set``), as the
-    fit reads it several times.
+    ``training_set`` should be a written table, as the fit reads it several
+    times. The model and the scores of the part held out are written below
+    ``folder``: all measures read those scores, so the model is applied once.
     """
     sample = down_sample(training_set, settings.sample_fraction, SUBSCRIPTION_KEY)
     train_rows, test_rows = train_test_split(sample, settings.train_ratio, SUBSCRIPTION_KEY)
     model = train_classifier(train_rows, settings)
-    if model_path:
-        save_model(model, model_path)
-    tested = predict(model, test_rows).select(*SUBSCRIPTION_KEY, LABEL, "p1")
+    save_model(model, f"{folder}/model")
+    tested = write_feature_set(
+        predict(model, test_rows).select(*SUBSCRIPTION_KEY, LABEL, "p0", "p1"), f"{folder}/held_out_scores"
+    )
     return TrainingResult(
         model=model,
         auc=auc(tested, "p1", LABEL),
@@ -138,12 +166,40 @@ def train(
     )
 
 
+def train_month(
+    loans: DataFrame,
+    tables: MonthlyTables,
+    as_of: date,
+    folder: str,
+    settings: ModelSettings = ModelSettings(),
+    lag: int = 0,
+    training_table: str | None = None,
+) -> TrainingResult:
+    """The whole training job: features, model, reports.
+
+    Replaces the training table (``training_table``, else a folder), and the
+    model and reports below ``folder``.
+    """
+    features = build_training_set(loans, tables, as_of, lag)
+    training_set = write_feature_set(features, training_table or f"{folder}/training_set")
+    result = train(training_set, folder, settings)
+    write_report(result.importance, f"{folder}/importance")
+    write_report(result.gains, f"{folder}/gains")
+    write_report(result.roc, f"{folder}/roc")
+    write_report(result.auc, f"{folder}/auc")
+    names = [(i, name) for i, name in enumerate(settings.features, start=1)]
+    predictors = loans.sparkSession.createDataFrame(names, "position int, predictor string")
+    write_report(predictors, f"{folder}/predictors")
+    return result
+
+
 def score_and_export(
     scoring_set: DataFrame,
     model: PipelineModel | str,
     as_of: date,
     folder: str,
     lag: int = 0,
+    score_table: str | None = None,
 ) -> DataFrame:
     """Score, rank, and write the score parts, the score table and the campaign list.
 
@@ -154,7 +210,7 @@ def score_and_export(
         model = load_model(model)
     scores = write_scores(score_subscribers(scoring_set, model), f"{folder}/scores")
     month = month_end(as_of, lag + 1)
-    table = append_score_table(rank_scores(scores, month), f"{folder}/score_table")
+    table = append_score_table(rank_scores(scores, month), score_table or f"{folder}/score_table", month)
     campaign = table.filter(F.col("prof_date") == F.lit(month))
     export_campaign_list(campaign, f"{folder}/campaign", as_of)
     return campaign
@@ -163,20 +219,20 @@ def score_and_export(
 def score_month(
     topup_daily: DataFrame,
     usage_daily: DataFrame,
-    datamart_path: str,
-    tables_without_usage: tuple[DataFrame, DataFrame, DataFrame],
+    usage_table: str,
+    profile: DataFrame,
+    topup_survey: DataFrame,
+    validity: DataFrame,
     model: PipelineModel | str,
     as_of: date,
     folder: str,
     lag: int = 0,
+    scoring_table: str | None = None,
+    score_table: str | None = None,
 ) -> DataFrame:
-    """The whole scoring job: extend the datamart, build the features, score, export.
-
-    ``tables_without_usage`` are profile, top-up survey and validity.
-    """
-    append_if_newer(topup_daily, usage_daily, datamart_path, as_of, lag + 1)
-    profile, survey, validity = tables_without_usage
-    usage = topup_daily.sparkSession.read.parquet(datamart_path)
-    features = build_scoring_set(MonthlyTables(profile, usage, survey, validity), as_of, lag)
-    written = write_feature_set(features, f"{folder}/scoring_set")
-    return score_and_export(written, model, as_of, folder, lag)
+    """The whole scoring job: extend the datamart, build the features, score, export."""
+    append_if_newer(topup_daily, usage_daily, usage_table, as_of, lag + 1)
+    usage = read_table(topup_daily.sparkSession, usage_table)
+    features = build_scoring_set(MonthlyTables(profile, usage, topup_survey, validity), as_of, lag)
+    written = write_feature_set(features, scoring_table or f"{folder}/scoring_set")
+    return score_and_export(written, model, as_of, folder, lag, score_table)

@@ -9,12 +9,14 @@ from pyspark.sql import SparkSession
 
 # Settings the plans are written for. Adaptive execution sizes reduce tasks,
 # turns a join into a broadcast only after measuring the side, and splits
-# skewed join partitions; none of that depends on table statistics.
+# skewed join partitions; none of that depends on table statistics. A join
+# whose measured partitions all stay below the hash threshold is not sorted.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -4,67 +4,84 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from subscore.functions.months import month_end
 from subscore.operators.datamart import usage_datamart
 from subscore.schemas import CAMPAIGN_SCHEMA, LIFT_SCHEMA, SCORES_SCHEMA
 
 
-def read_table(spark: SparkSession, name_or_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A catalog table, or a Parquet folder if the name holds a slash."""
-    if "/" not in name_or_path:
-        return spark.table(name_or_path)
+def is_path(target: str) -> bool:
+    """A target with a slash is a Parquet folder, any other a catalog table."""
+    return "/" in target
+
+
+def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None) -> DataFrame:
+    if not is_path(target):
+        return spark.table(target)
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(name_or_path)
+    return reader.parquet(target)
 
 
-def write_feature_set(df: DataFrame, path: str) -> DataFrame:
+def write_feature_set(df: DataFrame, target: str) -> DataFrame:
     """Replace the feature table and read it back, which ends the lineage."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.mode("overwrite").format("parquet")
+    if is_path(target):
+        writer.save(target)
+    else:
+        writer.saveAsTable(target)
+    return read_table(df.sparkSession, target, df.schema)
 
 
-def replace_months(df: DataFrame, path: str, month_column: str) -> None:
-    """Write whole months, one folder each; a month already there is replaced.
+def replace_month(df: DataFrame, target: str, month_column: str, month: date) -> None:
+    """Write one month of a table partitioned by month, in place of that month's rows.
 
-    A folder appears by one rename after all its files are written, so a failed
+    The month appears as a whole once all its files are written, so a failed
     job leaves no half month behind and can simply run again.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(month_column)
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    if is_path(target):
+        partitioned = df.write.mode("overwrite").partitionBy(month_column)
+        partitioned.option("partitionOverwriteMode", "dynamic").parquet(target)
+    elif not spark.catalog.tableExists(target):
+        df.write.partitionBy(month_column).format("parquet").saveAsTable(target)
+    else:
+        columns = [c for c in spark.table(target).columns if c != month_column]
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {target} PARTITION ({month_column} = DATE '{month}') SELECT * FROM {{rows}}",
+            rows=df.select(*columns),
+        )
 
 
-def latest_month(spark: SparkSession, path: str, month_column: str = "ddate") -> date | None:
+def latest_month(spark: SparkSession, target: str, month_column: str = "ddate") -> date | None:
     """Newest month of a table, None if it is empty or missing.
 
     Reads the partition column only, of which the files hold nothing.
     """
     try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+        table = read_table(spark, target)
+    except AnalysisException as error:
+        # Spark's error conditions for a missing and an empty table.
+        if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}:
+            return None
+        raise
     return table.agg(F.max(month_column)).first()[0]
 
 
-def append_if_newer(topup_daily: DataFrame, usage_daily: DataFrame, path: str, as_of: date, lag: int = 1) -> bool:
+def append_if_newer(topup_daily: DataFrame, usage_daily: DataFrame, target: str, as_of: date, lag: int = 1) -> bool:
     """Add a month to the usage datamart unless the table has it or a later one.
 
     Returns whether the month was added. An empty target takes any month; a
     missing older month is not filled in.
     """
     month = month_end(as_of, lag)
-    latest = latest_month(topup_daily.sparkSession, path)
+    latest = latest_month(topup_daily.sparkSession, target)
     if latest is not None and month <= latest:
         return False
-    replace_months(usage_datamart(topup_daily, usage_daily, month), path, "ddate")
+    replace_month(usage_datamart(topup_daily, usage_daily, month), target, "ddate", month)
     return True
 
 
@@ -97,10 +114,15 @@ def read_campaign_list(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.schema(CAMPAIGN_SCHEMA).option("sep", "|").option("header", True).csv(target)
 
 
-def append_score_table(campaign: DataFrame, path: str) -> DataFrame:
+def append_score_table(campaign: DataFrame, target: str, prof_date: date) -> DataFrame:
     """Create the score table or add the month; running a month again replaces it."""
-    replace_months(campaign, path, "prof_date")
-    return campaign.sparkSession.read.schema(CAMPAIGN_SCHEMA).parquet(path)
+    replace_month(campaign, target, "prof_date", prof_date)
+    return read_table(campaign.sparkSession, target, CAMPAIGN_SCHEMA)
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """Replace a small report (importance, gains, curve, predictor list) as CSV."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_lift_table(spark: SparkSession, path: str) -> DataFrame:
