@@ -269,7 +269,7 @@ def _training_table(spark, folder):
 
 
 def encode_features(spark, folder):
-    encoded = model.encode_features(build_training_set(spark, folder))
+    encoded = model.encode_features(_training_table(spark, folder))
     return encoded.select(*SUBSCRIPTION_KEY, "bad_flag", vector_to_array("features").alias("features"))
 
 

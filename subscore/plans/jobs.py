@@ -229,9 +229,10 @@ def score_month(
     lag: int = 0,
     scoring_table: str | None = None,
     score_table: str | None = None,
+    usage_buckets: int = 0,
 ) -> DataFrame:
     """The whole scoring job: extend the datamart, build the features, score, export."""
-    append_if_newer(topup_daily, usage_daily, usage_table, as_of, lag + 1)
+    append_if_newer(topup_daily, usage_daily, usage_table, as_of, lag + 1, usage_buckets)
     usage = read_table(topup_daily.sparkSession, usage_table)
     features = build_scoring_set(MonthlyTables(profile, usage, topup_survey, validity), as_of, lag)
     written = write_feature_set(features, scoring_table or f"{folder}/scoring_set")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from subscore.functions.months import month_end
 from subscore.operators.datamart import usage_datamart
-from subscore.schemas import CAMPAIGN_SCHEMA, LIFT_SCHEMA, SCORES_SCHEMA
+from subscore.schemas import CAMPAIGN_SCHEMA, LIFT_SCHEMA, SCORES_SCHEMA, SUBSCRIPTION_KEY
 
 
 def is_path(target: str) -> bool:
@@ -36,24 +36,37 @@ def write_feature_set(df: DataFrame, target: str) -> DataFrame:
     return read_table(df.sparkSession, target, df.schema)
 
 
-def replace_month(df: DataFrame, target: str, month_column: str, month: date) -> None:
+def replace_month(df: DataFrame, target: str, month_column: str, month: date, buckets: int = 0) -> None:
     """Write one month of a table partitioned by month, in place of that month's rows.
 
     The month appears as a whole once all its files are written, so a failed
     job leaves no half month behind and can simply run again.
+
+    ``buckets`` > 0 creates a catalog table bucketed and sorted by subscription:
+    later joins and aggregates on that key then read it without a shuffle,
+    provided there are at least as many buckets as shuffle partitions. Each
+    month needs the same number; one task writes one bucket.
     """
     spark = df.sparkSession
     if is_path(target):
+        if buckets:
+            raise ValueError("only a catalog table can be bucketed")
         partitioned = df.write.mode("overwrite").partitionBy(month_column)
         partitioned.option("partitionOverwriteMode", "dynamic").parquet(target)
-    elif not spark.catalog.tableExists(target):
-        df.write.partitionBy(month_column).format("parquet").saveAsTable(target)
-    else:
-        columns = [c for c in spark.table(target).columns if c != month_column]
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {target} PARTITION ({month_column} = DATE '{month}') SELECT * FROM {{rows}}",
-            rows=df.select(*columns),
-        )
+        return
+    if buckets:
+        df = df.repartition(buckets, *SUBSCRIPTION_KEY)
+    if not spark.catalog.tableExists(target):
+        writer = df.write.partitionBy(month_column).format("parquet")
+        if buckets:
+            writer = writer.bucketBy(buckets, *SUBSCRIPTION_KEY).sortBy(*SUBSCRIPTION_KEY)
+        writer.saveAsTable(target)
+        return
+    columns = [c for c in spark.table(target).columns if c != month_column]
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {target} PARTITION ({month_column} = DATE '{month}') SELECT * FROM {{rows}}",
+        rows=df.select(*columns),
+    )
 
 
 def latest_month(spark: SparkSession, target: str, month_column: str = "ddate") -> date | None:
@@ -71,7 +84,9 @@ def latest_month(spark: SparkSession, target: str, month_column: str = "ddate")
     return table.agg(F.max(month_column)).first()[0]
 
 
-def append_if_newer(topup_daily: DataFrame, usage_daily: DataFrame, target: str, as_of: date, lag: int = 1) -> bool:
+def append_if_newer(
+    topup_daily: DataFrame, usage_daily: DataFrame, target: str, as_of: date, lag: int = 1, buckets: int = 0
+) -> bool:
     """Add a month to the usage datamart unless the table has it or a later one.
 
     Returns whether the month was added. An empty target takes any month; a
@@ -81,7 +96,7 @@ def append_if_newer(topup_daily: DataFrame, usage_daily: DataFrame, target: str,
     latest = latest_month(topup_daily.sparkSession, target)
     if latest is not None and month <= latest:
         return False
-    replace_month(usage_datamart(topup_daily, usage_daily, month), target, "ddate", month)
+    replace_month(usage_datamart(topup_daily, usage_daily, month), target, "ddate", month, buckets)
     return True
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from subscore.operators import metrics, profit
 from subscore.schemas import LIFT_SCHEMA
+from subscore.sources.tables import read_lift_table, write_report
 from tests.conftest import rows
 
 MAY, JUNE = date(2019, 5, 31), date(2019, 6, 30)
@@ -65,6 +66,48 @@ def test_profit_of_a_known_row(spark):
     assert last.p_l == pytest.approx(last.cum_fee - last.cum_loss)
 
 
+# Published lift rows (month, decile, cum_no_subs, cum_avg_trx,
+# cum_use_prop, cum_bad_prop) and the profit of decile 9 at the default scenario.
+PUBLISHED = [
+    (date(2019, 2, 28), 8, 14538574, 2.2839204070976464, 0.735590284821852, 0.02774127691985697),
+    (date(2019, 2, 28), 9, 16363056, 2.308170178970848, 0.7469492805566215, 0.03659231996384765),
+    (date(2019, 2, 28), 10, 18213881, 2.294538216045456, 0.7685518739117992, 0.07719901470190989),
+    (date(2019, 3, 31), 8, 14592589, 2.3097960862666747, 0.7132467237823192, 0.05206016988252503),
+    (date(2019, 3, 31), 9, 16421523, 2.33662509091089, 0.7253197740555148, 0.06308415376044456),
+    (date(2019, 3, 31), 10, 18279464, 2.326369742612364, 0.7466419690304079, 0.09978802874005668),
+    (date(2019, 4, 30), 8, 14555477, 5.193013713896047, 0.7010812687756541, 0.03321227239932988),
+    (date(2019, 4, 30), 9, 16404546, 5.217954475443239, 0.7049785534237396, 0.04248280451918337),
+    (date(2019, 4, 30), 10, 18279463, 5.153364107357685, 0.7238979892514574, 0.07874023789322823),
+    (date(2019, 5, 31), 8, 14899866, 5.1738436638019465, 0.7585684502400509, 0.027758780771802268),
+    (date(2019, 5, 31), 9, 16740273, 5.1919218469141235, 0.7661347050410443, 0.036091614065231654),
+    (date(2019, 5, 31), 10, 18653460, 5.102388376759305, 0.7843681306747914, 0.0736465738069704),
+]
+PUBLISHED_PROFIT = {
+    date(2019, 2, 28): 11817835.65,
+    date(2019, 3, 31): 9944061.02,
+    date(2019, 4, 30): 29213057.24,
+    date(2019, 5, 31): 30371376.65,
+}
+
+
+def test_published_months(spark):
+    columns = "prof_date date, decile int, cum_no_subs long, cum_avg_trx double, cum_use_prop double, cum_bad_prop double"
+    lift = spark.createDataFrame(PUBLISHED, columns)
+    defaults = profit.with_scenarios(lift, [profit.DEFAULT_TAKEUP])
+    best = profit.best_decile(profit.profit_loss(defaults))
+    assert {r.prof_date: (r.decile, round(r.p_l, 2)) for r in best.collect()} == {
+        month: (9, value) for month, value in PUBLISHED_PROFIT.items()
+    }
+    shown = profit.profit_headline(best).filter(F.col("prof_date") == F.lit(date(2019, 2, 28))).first()
+    assert (shown.subs, shown.risky, shown.profit) == ("16.36 M", "3.66%", "12 M")
+
+
+def test_lift_table_survives_text(spark, tmp_path):
+    lift = metrics.decile_lift_table(_subscribers(spark))
+    write_report(lift, str(tmp_path / "lift"))
+    assert rows(read_lift_table(spark, str(tmp_path / "lift"))) == rows(lift)
+
+
 def test_default_scenarios_and_ties(spark):
     scenarios = profit.with_scenarios(metrics.decile_lift_table(_subscribers(spark)))
     assert scenarios.count() == 2 * 10 * 21

@@ -53,6 +53,35 @@ def test_months_are_added_only_if_newer(spark, tmp_path, kind):
     assert tables.latest_month(spark, target) == date(2019, 6, 30)
 
 
+def test_bucketed_datamart_is_joined_without_a_shuffle(spark, data_folder):
+    topup, usage = (f(spark, data_folder, views.SCORING_MONTH, 3) for f in (views.topup_daily, views.usage_daily))
+    for lag in (3, 2, 1):
+        assert tables.append_if_newer(topup, usage, "usage_bucketed", views.AS_OF, lag, buckets=4)
+    assert not tables.append_if_newer(topup, usage, "usage_bucketed", views.AS_OF, 1, buckets=4)
+    stored = spark.table("usage_bucketed")
+    computed = views.usage_monthly(spark, data_folder, views.SCORING_MONTH)
+    assert rows(queries.rounded(stored.select(*computed.columns))) == rows(queries.rounded(computed))
+    t = views.monthly_tables(spark, data_folder, views.SCORING_MONTH)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = jobs.build_scoring_set(
+            jobs.MonthlyTables(t.profile, stored, t.topup_survey, t.validity), views.AS_OF
+        )
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Spine, survey, validity and revenue history are exchanged; usage is not.
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("Bucketed: true") == 2
+    assert rows(queries.rounded(wide)) == rows(queries.rounded(queries.build_scoring_set(spark, data_folder)))
+
+
+def test_only_catalog_tables_are_bucketed(spark, tmp_path):
+    topup, usage = _daily(spark)
+    with pytest.raises(ValueError, match="catalog"):
+        tables.append_if_newer(topup, usage, str(tmp_path / "t"), date(2019, 7, 15), buckets=4)
+
+
 def test_other_analysis_errors_are_not_an_empty_table(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "t"))
     with pytest.raises(Exception, match="ddate"):
