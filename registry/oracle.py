@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from subscore.schemas import (
     AVG_COLUMNS,
+    CATEGORICAL,
     MEAN_IMPUTED,
     MEASURES,
     REVENUE,
@@ -16,6 +17,7 @@ from subscore.schemas import (
     TOPUP,
     USAGE,
     USAGE_HISTORY,
+    feature_columns,
     lag_name,
     zero_imputed,
 )
@@ -333,6 +335,25 @@ def _feature_rows(training: bool, source: str) -> str:
     )
 
 
+def _category_ranks() -> dict[str, str]:
+    """Index of each category: by descending frequency, then by name."""
+    return {
+        f"ranked_{c}": f"""
+    SELECT {c}, CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS INTEGER) AS {c}_index
+    FROM finished GROUP BY {c}"""
+        for c in CATEGORICAL
+    }
+
+
+def _encoded() -> str:
+    terms = [f"{c}_index" if c in CATEGORICAL else c for c in feature_columns()]
+    joins = " ".join(f"JOIN ranked_{c} USING ({c})" for c in CATEGORICAL)
+    indices = [f"{c}_index" for c in CATEGORICAL]
+    total = " + ".join(f"CAST({t} AS DOUBLE)" for t in terms)
+    columns = ["analytic_id", "register_date", *indices, f"{len(terms)} AS n_features", _r(total, "feature_sum")]
+    return _select(columns, f"finished {joins}")
+
+
 # --------------------------------------------------------------------------
 # Statements: the tables and steps a query needs, then its SELECT.
 # --------------------------------------------------------------------------
@@ -679,7 +700,14 @@ def all_statements() -> dict[str, str]:
             windowed, _select(["analytic_id", "register_date", "prof_month", *lag_cols], "lag_only")
         ),
         "eligible_base": _statement(
-            profile_eligible, _select(_profile_cols(_PROFILE_ALL, ("age",)), "eligible")
+            profile_eligible,
+            _select(
+                [
+                    "CAST(activation_date AS DATE) AS activation_date" if c == "activation_date" else c
+                    for c in _profile_cols(_PROFILE_ALL, ("age",))
+                ],
+                "eligible",
+            ),
         ),
         "impute_mean": _statement(
             profile_eligible,
@@ -756,6 +784,19 @@ def all_statements() -> dict[str, str]:
             + f" WHERE {_hash('sample')} < CAST(floor(0.1 * 4294967296) AS BIGINT)",
         ),
         "train_test_split": _statement(scored, _select([*_LABELLED_COLS, f"{split} AS split"], "scored")),
+        "encode_features": _statement(
+            training
+            | {
+                "finished": _select(
+                    [
+                        f"* REPLACE ({', '.join(f'coalesce({c}, 0) AS {c}' for c in SLOPE_COLUMNS)})",
+                    ],
+                    "with_slope",
+                )
+            }
+            | _category_ranks(),
+            _encoded(),
+        ),
         "auc": _statement(scored | _CURVE, _AUC),
         "roc_points": _statement(scored | _CURVE, _ROC),
         "gains_lift": _statement(scored | _GAINS_STEPS, _GAINS),

@@ -26,6 +26,7 @@ from subscore.plans import jobs
 from subscore.schemas import (
     AVG_COLUMNS,
     CAMPAIGN_SCHEMA,
+    CATEGORICAL,
     MEAN_IMPUTED,
     MEASURES,
     SCORES_SCHEMA,
@@ -120,21 +121,25 @@ def validity_snapshot(spark, folder):
 
 
 def assemble_training_features(spark, folder):
-    t = v.monthly_tables(spark, folder, v.TRAINING_MONTH)
+    month = v.TRAINING_MONTH
     return features.assemble_training_features(
         drop_duplicated_subscribers(spark, folder),
-        t.profile,
-        t.usage_monthly,
-        t.topup_survey,
-        t.validity,
-        v.TRAINING_MONTH,
+        v.profile(spark, folder, month),
+        v.usage_monthly(spark, folder, month, months=1),
+        v.topup_survey(spark, folder, month),
+        v.validity(spark, folder, month),
+        month,
     )
 
 
 def assemble_scoring_features(spark, folder):
-    t = v.monthly_tables(spark, folder, v.SCORING_MONTH)
+    month = v.SCORING_MONTH
     return features.assemble_scoring_features(
-        t.profile, t.usage_monthly, t.topup_survey, t.validity, v.SCORING_MONTH
+        v.profile(spark, folder, month),
+        v.usage_monthly(spark, folder, month, months=1),
+        v.topup_survey(spark, folder, month),
+        v.validity(spark, folder, month),
+        month,
     )
 
 
@@ -174,19 +179,23 @@ def attach_lags(spark, folder):
 def _with_history(spark, folder):
     month = v.SCORING_MONTH
     t = v.monthly_tables(spark, folder, month)
-    wide = assemble_scoring_features(spark, folder)
+    wide = features.assemble_scoring_features(t.profile, t.usage_monthly, t.topup_survey, t.validity, month)
     history = features.history_union_frame(
         features.profile_history(t.profile, month), features.usage_history(t.usage_monthly, month)
     )
     return features.attach_lags(wide, history, month)
 
 
-def eligible_base(spark, folder):
+def _eligible(spark, folder):
     return cleansing.eligible_base(v.profile(spark, folder, v.SCORING_MONTH))
 
 
+def eligible_base(spark, folder):
+    return _eligible(spark, folder).withColumn("activation_date", F.to_date("activation_date"))
+
+
 def impute_mean(spark, folder):
-    return cleansing.impute_mean(eligible_base(spark, folder)).select("analytic_id", "ddate", *MEAN_IMPUTED)
+    return cleansing.impute_mean(_eligible(spark, folder)).select("analytic_id", "ddate", *MEAN_IMPUTED)
 
 
 def impute_unknown(spark, folder):
@@ -269,8 +278,15 @@ def _training_table(spark, folder):
 
 
 def encode_features(spark, folder):
+    """The category indices, and the sum of the vector in which they end up."""
     encoded = model.encode_features(_training_table(spark, folder))
-    return encoded.select(*SUBSCRIPTION_KEY, "bad_flag", vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return encoded.select(
+        *SUBSCRIPTION_KEY,
+        *[F.col(f"{c}_index").cast("int").alias(f"{c}_index") for c in CATEGORICAL],
+        F.size(values).alias("n_features"),
+        F.aggregate(values, F.lit(0.0), lambda total, x: total + x).alias("feature_sum"),
+    )
 
 
 def train_classifier(spark, folder):
@@ -306,7 +322,7 @@ def _scores(spark, folder):
 
 
 def write_scores(spark, folder):
-    return tables.write_scores(_scores(spark, folder), f"{shared_folder(spark, 'scores')}/scores")
+    return tables.write_scores(_scores(spark, folder), f"{shared_folder(spark, 'scores')}/scores", text=True)
 
 
 # --- G: lift and profit -----------------------------------------------------

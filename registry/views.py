@@ -8,15 +8,16 @@ SQL in ``oracle.py`` can state the same table.
 from __future__ import annotations
 
 from datetime import date, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from subscore.functions.months import month_begin, month_end
 from subscore.operators.datamart import usage_datamart
 from subscore.plans.jobs import MonthlyTables
 from subscore.schemas import SUBSCRIPTION_KEY
+from subscore.session import shared_folder
 
 AS_OF = date(1998, 7, 15)
 LABEL_MONTH = month_end(AS_OF, 1)
@@ -24,8 +25,15 @@ TRAINING_MONTH = month_end(AS_OF, 4)
 SCORING_MONTH = month_end(AS_OF, 1)
 
 
+# Schemas by path: inferring one starts a job, and a query reads a table many times.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _within(column: str, month: date | None, months: int) -> Column:
@@ -80,12 +88,17 @@ def usage_daily(spark: SparkSession, folder: str, month: date | None = None, mon
 
 
 def usage_monthly(spark: SparkSession, folder: str, month: date, months: int = 3) -> DataFrame:
-    """The datamart of several months; a month filter leaves the other months unread."""
-    marts = []
-    for k in range(months):
-        one = month_end(month, k)
-        marts.append(usage_datamart(topup_daily(spark, folder, one), usage_daily(spark, folder, one), one))
-    return reduce(DataFrame.unionByName, marts)
+    return usage_datamart(
+        topup_daily(spark, folder, month, months), usage_daily(spark, folder, month, months), month, months
+    )
+
+
+def stored_usage_monthly(spark: SparkSession, folder: str, month: date, months: int = 3) -> DataFrame:
+    """The datamart as the jobs find it: a table by month, from one pass over the daily facts."""
+    mart = usage_monthly(spark, folder, month, months)
+    path = f"{shared_folder(spark, 'usage')}/usage_monthly"
+    mart.write.partitionBy("ddate").parquet(path)
+    return spark.read.schema(mart.schema).parquet(path)
 
 
 def _customers(spark: SparkSession, folder: str, month: date, months: int) -> DataFrame:
@@ -204,7 +217,7 @@ def validity(spark: SparkSession, folder: str, month: date, months: int = 1) ->
 def monthly_tables(spark: SparkSession, folder: str, month: date) -> MonthlyTables:
     return MonthlyTables(
         profile=profile(spark, folder, month),
-        usage_monthly=usage_monthly(spark, folder, month),
+        usage_monthly=stored_usage_monthly(spark, folder, month),
         topup_survey=topup_survey(spark, folder, month),
         validity=validity(spark, folder, month),
     )

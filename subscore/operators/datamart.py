@@ -1,4 +1,8 @@
-"""Monthly usage datamart from daily facts."""
+"""Monthly usage datamart from daily facts.
+
+``months`` > 1 aggregates that many months, ending at ``month``, in one pass over
+the daily facts; the key then includes the month end ``ddate``.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,15 @@ from subscore.functions.months import month_end, month_slice
 from subscore.schemas import TOPUP, USAGE, USAGE_SOURCES
 
 
-def topup_monthly(topup_daily: DataFrame, month: date) -> DataFrame:
+def _month_key(months: int) -> list[str]:
+    return ["ddate"] if months > 1 else []
+
+
+def _sliced(daily: DataFrame, month: date, months: int) -> DataFrame:
+    return month_slice(daily, month, lag=0, months=months).withColumn("ddate", F.last_day("ddate"))
+
+
+def topup_monthly(topup_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
     """Top-up count and value statistics per subscription in the month of ``month``.
 
     The deviation is the sample one, null for a single top-up. All aggregates
@@ -31,27 +43,31 @@ def topup_monthly(topup_daily: DataFrame, month: date) -> DataFrame:
             F.max(source).alias(f"max_monthly_topup_{suffix}"),
         ]
     return (
-        month_slice(topup_daily, month, lag=0)
+        _sliced(topup_daily, month, months)
         .withColumn("register_date", F.to_date("register_date"))
-        .groupBy("analytic_id", "register_date")
+        .groupBy("analytic_id", "register_date", *_month_key(months))
         .agg(*aggregates)
     )
 
 
-def usage_monthly_sums(usage_daily: DataFrame, month: date) -> DataFrame:
+def usage_monthly_sums(usage_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
     """Data, voice and SMS totals per subscriber (not subscription) in the month of ``month``."""
     return (
-        month_slice(usage_daily, month, lag=0)
-        .groupBy("analytic_id")
+        _sliced(usage_daily, month, months)
+        .groupBy("analytic_id", *_month_key(months))
         .agg(*[F.sum(source).alias(name) for name, source in USAGE_SOURCES.items()])
     )
 
 
-def usage_datamart(topup_daily: DataFrame, usage_daily: DataFrame, month: date) -> DataFrame:
+def usage_datamart(topup_daily: DataFrame, usage_daily: DataFrame, month: date, months: int = 1) -> DataFrame:
     """Top-ups and usage of a month side by side, one row per subscription.
 
     Usage is known per subscriber only: it repeats for each subscription that
     topped up, and a subscriber without top-up gets a null ``register_date``.
     """
-    both = topup_monthly(topup_daily, month).join(usage_monthly_sums(usage_daily, month), "analytic_id", "full")
-    return both.select("analytic_id", "register_date", *TOPUP, *USAGE, F.lit(month_end(month)).alias("ddate"))
+    topup = topup_monthly(topup_daily, month, months)
+    usage = usage_monthly_sums(usage_daily, month, months)
+    both = topup.join(usage, ["analytic_id", *_month_key(months)], "full")
+    if months == 1:
+        both = both.withColumn("ddate", F.lit(month_end(month)))
+    return both.select("analytic_id", "register_date", *TOPUP, *USAGE, "ddate")

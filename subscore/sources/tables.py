@@ -100,14 +100,19 @@ def append_if_newer(
     return True
 
 
-def write_scores(scores: DataFrame, path: str) -> DataFrame:
-    """Replace the score folder by CSV parts and read it back."""
-    scores.select(*SCORES_SCHEMA.fieldNames()).write.mode("overwrite").option("header", True).csv(path)
-    return read_scores(scores.sparkSession, path)
+def write_scores(scores: DataFrame, path: str, text: bool = False) -> DataFrame:
+    """Replace the score folder and read it back: Parquet parts, or CSV if ``text``."""
+    writer = scores.select(*SCORES_SCHEMA.fieldNames()).write.mode("overwrite")
+    if text:
+        writer.option("header", True).csv(path)
+    else:
+        writer.parquet(path)
+    return read_scores(scores.sparkSession, path, text)
 
 
-def read_scores(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SCORES_SCHEMA).option("header", True).csv(path)
+def read_scores(spark: SparkSession, path: str, text: bool = False) -> DataFrame:
+    reader = spark.read.schema(SCORES_SCHEMA)
+    return reader.option("header", True).csv(path) if text else reader.parquet(path)
 
 
 def campaign_folder(folder: str, run_date: date) -> str:

@@ -60,6 +60,14 @@ def test_datamart_keeps_both_outer_sides(spark):
     ]
 
 
+def test_several_months_in_one_pass(spark):
+    topup, usage = _topup(spark), _usage(spark)
+    july = date(2019, 7, 31)
+    together = datamart.usage_datamart(topup, usage, july, months=3)
+    apart = [datamart.usage_datamart(topup, usage, m) for m in (date(2019, 5, 31), MONTH, july)]
+    assert rows(together) == rows(apart[0].unionByName(apart[1]).unionByName(apart[2]))
+
+
 def _loans(spark):
     return spark.createDataFrame(
         [

@@ -18,7 +18,6 @@ STATEMENTS = oracle.all_statements()
 
 # Not expressible in SQL: they fit or apply the classifier.
 WITHOUT_SQL = {
-    "encode_features",
     "train_classifier",
     "variable_importance",
     "score_subscribers",

@@ -103,9 +103,10 @@ def _scores(spark):
     )
 
 
-def test_scores_survive_text_with_leading_zeros(spark, tmp_path):
+@pytest.mark.parametrize("text", [False, True])
+def test_scores_keep_leading_zeros(spark, tmp_path, text):
     scores = _scores(spark)
-    assert rows(tables.write_scores(scores, str(tmp_path / "scores"))) == rows(scores)
+    assert rows(tables.write_scores(scores, str(tmp_path / "scores"), text)) == rows(scores)
 
 
 def test_campaign_list_file_set(spark, tmp_path):
