@@ -15,6 +15,8 @@ from subscore.schemas import CAMPAIGN_SCHEMA, SUBSCRIPTION_KEY
 
 SCORE_DIGITS = 4
 SLICE_DIGITS = 2  # hexadecimal digits: 256 slices per score
+HOT_ROWS = 100_000
+HOT_PARTS = 1000
 
 
 def _div(dividend: Column, divisor: Column) -> Column:
@@ -41,6 +43,7 @@ def ntile_exact(
     tie_break: Sequence[str] = SUBSCRIPTION_KEY,
     by: Sequence[str] = (),
     descending: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equal-count buckets by score: ``ntile`` over all rows, or per ``by`` group.
 
@@ -50,58 +53,60 @@ def ntile_exact(
 
     A global ``ntile`` window would bring all rows to one task. Instead:
 
-    1. count the rows per (score, slice). A slice is the first digits of the
-       tie-break hash, so it follows the tie order and cuts even a score that a
-       third of the rows share into 256 even parts;
-    2. turn counts into the number of rows before each (score, slice): running
-       sums over score values rounded to four digits within [-1, 1] (at most
-       20,001 rows per ``by`` group), then within each of those;
-    3. number the rows inside each (score, slice) and add the offset.
-
-    The input is read twice, and its rows are shuffled once, by (score, slice),
-    for both the join with the offsets and the numbering. Any score gives exact
-    ranks; scores rounded to four digits, as ``score_subscribers`` returns
-    them, also spread evenly.
+    1. count rows per level, the score in whole ten-thousandths within [-1, 1],
+       and sum the counts up: the number of rows before each level. At most
+       20,001 levels exist (per ``by`` group), so one task can do this, and
+       without ``by`` the levels are safe to broadcast to the rows.
+    2. a level is hot if it holds over ``hot_rows`` rows and over a thousandth of
+       all. Hot levels are cut by score and by slice, the first digits of the
+       tie-break hash. Slices follow the tie order and are even, so a score that
+       a third of the rows share becomes 256 equal parts. Counting these again
+       gives the number of rows before each part of its level.
+    3. number the rows inside each cold level or hot part, and add both offsets.
+
+    The rows are shuffled once, for the third step. Any score gives exact ranks.
+    Scores rounded to four digits, as ``score_subscribers`` returns them, spread
+    evenly whatever their distribution.
     """
     by = list(by)
-    rank_key = -F.col(score) if descending else F.col(score)
-    rows = df.withColumns(
-        {
-            "_score": rank_key,
-            "_text": key_text(tie_break),
-        }
-    ).withColumn("_hash", F.md5("_text"))
-    rows = rows.withColumn("_slice", F.substring("_hash", 1, SLICE_DIGITS))
-
-    # The constant in coalesce is never used. It makes the column non-null, so that
-    # both readers of the counts get the same plan and share one exchange.
-    coarse = F.round(F.least(F.greatest(F.col("_score").cast("double"), F.lit(-1.0)), F.lit(1.0)), SCORE_DIGITS)
-    coarse = F.coalesce(coarse, F.lit(1.0))
-    has_rank = reduce(and_, [F.col(c).isNotNull() for c in [*by, "_score"]])
-    counts = (
-        rows.filter(has_rank)
-        .groupBy(*by, "_score", "_slice")
-        .agg(F.count(F.lit(1)).alias("_count"))
-        .withColumn("_coarse", coarse)
-    )
-    totals = counts.groupBy(*by, "_coarse").agg(F.sum("_count").alias("_total"))
+    text = key_text(tie_break)
+    rows = df.withColumn("_score", -F.col(score) if descending else F.col(score))
+    clamped = F.least(F.greatest(F.col("_score").cast("double"), F.lit(-1.0)), F.lit(1.0))
+    level = F.floor(clamped * 10**SCORE_DIGITS).cast("int")
+    rows = rows.withColumn("_level", F.when(F.col("_score").isNotNull(), level))
+
     whole = Window.partitionBy(*by)
-    up_to_coarse = whole.orderBy("_coarse").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(
+    up_to_level = whole.orderBy("_level").rowsBetween(Window.unboundedPreceding, -1)
+    in_group = reduce(and_, [F.col(c).isNotNull() for c in [*by, "_level"]])
+    levels = rows.filter(in_group).groupBy(*by, "_level").agg(F.count(F.lit(1)).alias("_count"))
+    levels = levels.select(
         *by,
-        "_coarse",
-        F.coalesce(F.sum("_total").over(up_to_coarse), F.lit(0)).alias("_before_coarse"),
-        F.sum("_total").over(whole).alias("_rows"),
+        "_level",
+        "_count",
+        F.coalesce(F.sum("_count").over(up_to_level), F.lit(0)).alias("_before_level"),
+        F.sum("_count").over(whole).alias("_rows"),
+    )
+    is_hot = F.col("_count") > F.greatest(F.lit(hot_rows), _div(F.col("_rows"), F.lit(HOT_PARTS)))
+    levels = levels.withColumn("_hot", is_hot).drop("_count")
+
+    rows = rows.join(levels if by else F.broadcast(levels), [*by, "_level"], "left")
+    # Rows without a level get no rank, but there may be many: spread them too.
+    cut = F.coalesce("_hot", F.lit(True))
+    rows = rows.withColumns(
+        {"_value": F.when(cut, F.col("_score")), "_slice": F.when(cut, F.substring(F.md5(text), 1, SLICE_DIGITS))}
     )
-    inside = Window.partitionBy(*by, "_coarse").orderBy("_score", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.withColumn("_before_inside", F.coalesce(F.sum("_count").over(inside), F.lit(0)))
-        .join(totals, [*by, "_coarse"])
-        .select(*by, "_score", "_slice", (F.col("_before_coarse") + F.col("_before_inside")).alias("_before"), "_rows")
+    part = [*by, "_level", "_value", "_slice"]
+    inside = Window.partitionBy(*by, "_level").orderBy("_value", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        rows.filter("_hot")
+        .groupBy(*part)
+        .agg(F.count(F.lit(1)).alias("_count"))
+        .select(*part, F.sum("_count").over(inside).alias("_before_part"))
     )
-    numbered = Window.partitionBy(*by, "_score", "_slice").orderBy("_hash", "_text")
-    position = F.col("_before") + F.row_number().over(numbered) - 1
-    ranked = rows.join(offsets, [*by, "_score", "_slice"], "left").withColumn("_position", position)
+    # The tie order is computed behind the shuffle, which then carries less.
+    number = F.row_number().over(Window.partitionBy(*part).orderBy("_score", F.md5(text), text))
+    position = F.col("_before_level") + F.coalesce("_before_part", F.lit(0)) + number - 1
+    ranked = rows.join(parts, part, "left").withColumn("_position", position)
     return ranked.select(
         *df.columns, *[_bucket(F.col("_position"), F.col("_rows"), k).alias(name) for name, k in buckets.items()]
     )

@@ -37,6 +37,7 @@ CASES = {
     "a third of the rows share a score": [0.5 if i % 3 == 0 else (i % 101) / 100 for i in range(1000)],
     "not divisible": [((i * 7919) % 10007) / 10007 for i in range(503)],
     "outside the usual range": [-5.0, 3.0, 2.5, 7.0, -9.0, 0.0, -0.0, 1.0, 1.00001] * 5,
+    "hot score among close ones": [0.5 if i % 3 == 0 else 0.49996 + i / 1e7 for i in range(600)],
     "some missing": [None if i % 4 == 0 else i / 100 for i in range(90)],
     "single": [0.4],
 }
@@ -44,38 +45,46 @@ CASES = {
 
 @pytest.mark.parametrize("case", CASES)
 @pytest.mark.parametrize("descending", [False, True])
-def test_ntile_equals_brute_force(spark, case, descending):
+@pytest.mark.parametrize("hot_rows", [0, 3, ranking.HOT_ROWS])
+def test_ntile_equals_brute_force(spark, case, descending, hot_rows):
     scores = CASES[case]
-    ranked = ranking.ntile_exact(_scored(spark, scores), "score", {"k7": 7, "k10": 10}, descending=descending)
+    ranked = ranking.ntile_exact(
+        _scored(spark, scores), "score", {"k7": 7, "k10": 10}, descending=descending, hot_rows=hot_rows
+    )
     got = {r.analytic_id: (r.k7, r.k10) for r in ranked.collect()}
     expected = zip(_brute_force(scores, 7, descending), _brute_force(scores, 10, descending), strict=True)
     assert got == {f"s{i:05d}": pair for i, pair in enumerate(expected)}
 
 
-def test_ntile_per_group_equals_the_window_function(spark):
+@pytest.mark.parametrize("hot_rows", [5, ranking.HOT_ROWS])
+def test_ntile_per_group_equals_the_window_function(spark, hot_rows):
     rng = np.random.default_rng(3)
-    df = _scored(spark, np.round(rng.random(2000), 2).tolist()).withColumn(
-        "month", F.when(F.xxhash64("analytic_id") % 3 == 0, "may").otherwise("june")
-    )
-    ranked = ranking.ntile_exact(df, "score", {"k": 10, "k100": 100}, by=["month"])
+    month = F.when(F.xxhash64("analytic_id") % 3 == 0, "may").when(F.xxhash64("analytic_id") % 3 == 1, "june")
+    df = _scored(spark, np.round(rng.random(2000), 2).tolist()).withColumn("month", month)
+    ranked = ranking.ntile_exact(df, "score", {"k": 10, "k100": 100}, by=["month"], hot_rows=hot_rows)
+    assert ranked.filter("month IS NULL AND k IS NULL").count() == df.filter("month IS NULL").count()
     text = hashing.key_text(SUBSCRIPTION_KEY)
     window = Window.partitionBy("month").orderBy("score", F.md5(text), text)
-    checked = ranked.withColumns({"e": F.ntile(10).over(window), "e100": F.ntile(100).over(window)})
-    assert checked.filter("k <> e OR k100 <> e100").count() == 0
+    known = ranked.filter("month IS NOT NULL")
+    checked = known.withColumns({"e": F.ntile(10).over(window), "e100": F.ntile(100).over(window)})
+    assert checked.filter("NOT (k <=> e AND k100 <=> e100)").count() == 0
 
 
-def test_a_hot_score_is_cut_into_slices_and_read_twice(spark, tmp_path):
-    """The rows themselves never meet in one task; the counts are shared."""
+def test_a_hot_score_is_cut_and_the_rows_are_shuffled_once(spark, tmp_path):
     path = str(tmp_path / "scores")
     _scored(spark, [0.5] * 3000).write.parquet(path)
-    ranked = ranking.ntile_exact(spark.read.parquet(path), "score", {"k": 10})
+    ranked = ranking.ntile_exact(spark.read.parquet(path), "score", {"k": 10}, hot_rows=100)
     assert ranked.groupBy("k").count().filter("count <> 300").count() == 0
-    ranked.collect()
-    plan = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("FileScan") == 2
-    assert "ReusedExchange" in plan
-    single = plan.index("Exchange SinglePartition")
-    assert "_coarse" in plan[single:].split("HashAggregate(keys=[")[1].split("]")[0]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ranked.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    whole_rows = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_slice" in line]
+    # The rows, the counts of the parts, and the same counts after adding them up.
+    assert len(whole_rows) == 3
+    single = plan.split("Exchange SinglePartition")[1:]
+    assert single and all("HashAggregate(keys=[_level" in part.splitlines()[1] for part in single)
 
 
 def test_campaign_list(spark):
