@@ -17,6 +17,7 @@ SCORE_DIGITS = 4
 SLICE_DIGITS = 2  # hexadecimal digits: 256 slices per score
 HOT_ROWS = 100_000
 HOT_PARTS = 1000
+BROADCAST_GROUPS = 50  # of 20,001 rows: some 40 MB at most
 
 
 def _div(dividend: Column, divisor: Column) -> Column:
@@ -36,6 +37,12 @@ def _bucket(position: Column, rows: Column, buckets: int) -> Column:
     )
 
 
+def _few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    if not by:
+        return True
+    return df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+
+
 def ntile_exact(
     df: DataFrame,
     score: str,
@@ -55,8 +62,9 @@ def ntile_exact(
 
     1. count rows per level, the score in whole ten-thousandths within [-1, 1],
        and sum the counts up: the number of rows before each level. At most
-       20,001 levels exist (per ``by`` group), so one task can do this, and
-       without ``by`` the levels are safe to broadcast to the rows.
+       20,001 levels exist (per ``by`` group), so one task can do this. They are
+       broadcast to the rows if there are at most ``BROADCAST_GROUPS`` groups,
+       which is counted first; otherwise Spark chooses the join.
     2. a level is hot if it holds over ``hot_rows`` rows and over a thousandth of
        all. Hot levels are cut by score and by slice, the first digits of the
        tie-break hash. Slices follow the tie order and are even, so a score that
@@ -64,8 +72,8 @@ def ntile_exact(
        gives the number of rows before each part of its level.
     3. number the rows inside each cold level or hot part, and add both offsets.
 
-    The rows are shuffled once, for the third step. Any score gives exact ranks.
-    Scores rounded to four digits, as ``score_subscribers`` returns them, spread
+    The rows are shuffled once, for the third step, and read three times: ``df``
+    should be a written table. Any score gives exact ranks. Scores rounded to four digits, as ``score_subscribers`` returns them, spread
     evenly whatever their distribution.
     """
     by = list(by)
@@ -89,7 +97,9 @@ def ntile_exact(
     is_hot = F.col("_count") > F.greatest(F.lit(hot_rows), _div(F.col("_rows"), F.lit(HOT_PARTS)))
     levels = levels.withColumn("_hot", is_hot).drop("_count")
 
-    rows = rows.join(levels if by else F.broadcast(levels), [*by, "_level"], "left")
+    if _few_groups(df, by):
+        levels = F.broadcast(levels)
+    rows = rows.join(levels, [*by, "_level"], "left")
     # Rows without a level get no rank, but there may be many: spread them too.
     cut = F.coalesce("_hot", F.lit(True))
     rows = rows.withColumns(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date
 
 from pyspark.ml import PipelineModel
@@ -187,9 +187,13 @@ def train_month(
     write_report(result.gains, f"{folder}/gains")
     write_report(result.roc, f"{folder}/roc")
     write_report(result.auc, f"{folder}/auc")
+    spark = loans.sparkSession
     names = [(i, name) for i, name in enumerate(settings.features, start=1)]
-    predictors = loans.sparkSession.createDataFrame(names, "position int, predictor string")
-    write_report(predictors, f"{folder}/predictors")
+    write_report(spark.createDataFrame(names, "position int, predictor string"), f"{folder}/predictors")
+    values = {"profile_month": month_end(as_of, lag + 1 + LABEL_TO_PROFILE_MONTHS)}
+    values |= {f.name: getattr(settings, f.name) for f in fields(settings) if f.name != "features"}
+    parameters = spark.createDataFrame([(k, str(v)) for k, v in values.items()], "parameter string, value string")
+    write_report(parameters, f"{folder}/parameters")
     return result
 
 

@@ -56,8 +56,10 @@ def test_ntile_equals_brute_force(spark, case, descending, hot_rows):
     assert got == {f"s{i:05d}": pair for i, pair in enumerate(expected)}
 
 
+@pytest.mark.parametrize("groups", [1, ranking.BROADCAST_GROUPS])
 @pytest.mark.parametrize("hot_rows", [5, ranking.HOT_ROWS])
-def test_ntile_per_group_equals_the_window_function(spark, hot_rows):
+def test_ntile_per_group_equals_the_window_function(spark, monkeypatch, hot_rows, groups):
+    monkeypatch.setattr(ranking, "BROADCAST_GROUPS", groups)
     rng = np.random.default_rng(3)
     month = F.when(F.xxhash64("analytic_id") % 3 == 0, "may").when(F.xxhash64("analytic_id") % 3 == 1, "june")
     df = _scored(spark, np.round(rng.random(2000), 2).tolist()).withColumn("month", month)

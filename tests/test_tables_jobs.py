@@ -204,6 +204,9 @@ def test_training_job_reports(spark, trained):
     assert result.gains.count() == 16
     for report in ("importance", "gains", "roc", "auc", "predictors"):
         assert spark.read.option("header", True).csv(f"{folder}/{report}").count() > 0
+    parameters = dict(rows(spark.read.option("header", True).csv(f"{folder}/parameters")))
+    assert parameters["profile_month"] == str(views.TRAINING_MONTH)
+    assert (parameters["trees"], parameters["seed"]) == ("5", "567")
 
 
 def test_scoring_job(spark, data_folder, trained, tmp_path):
