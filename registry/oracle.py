@@ -23,6 +23,7 @@ from subscore.schemas import (
 )
 
 DIGITS = 4
+SERIES_DIGITS = 9
 
 LABEL_MONTH = "1998-06-30"
 TRAINING = ["1998-03-31", "1998-02-28", "1998-01-31"]
@@ -33,8 +34,8 @@ WHOLE = {"sum_monthly_tran_topup", "min_monthly_topup_tran", "max_monthly_topup_
 }
 
 
-def _r(column: str, name: str | None = None) -> str:
-    return f"round({column}, {DIGITS}) + 0.0 AS {name or column}"
+def _r(column: str, name: str | None = None, digits: int = DIGITS) -> str:
+    return f"round({column}, {digits}) + 0.0 AS {name or column}"
 
 
 def _usage(columns: list[str]) -> list[str]:
@@ -587,7 +588,7 @@ _REPORT = _select(
     "profit",
 )
 _SERIES = " UNION ALL ".join(
-    _select([*_SCENARIO, "decile", f"'{name}' AS series", _r(value, "value")], "profit")
+    _select([*_SCENARIO, "decile", f"'{name}' AS series", _r(value, "value", SERIES_DIGITS)], "profit")
     for name, value in (
         ("lift_rate", "lift_rate"),
         ("risky_percent", "cum_bad_prop * 100"),

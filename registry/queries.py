@@ -41,14 +41,15 @@ from subscore.sources import tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 4
+SERIES_DIGITS = 9  # profit in millions is small in small data
 SMALL_MODEL = model.ModelSettings(sample_fraction=1.0, trees=10, rate=0.1, depth=4)
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to four digits, since the order of a sum moves the last ones."""
+def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Doubles to a few digits, since the order of a sum moves the last ones."""
     return df.select(
         *[
-            F.round(f.name, DIGITS).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            F.round(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
             for f in df.schema
         ]
     )
@@ -421,7 +422,6 @@ def score_and_export(spark, folder):
     )
 
 
-# The result is rounded unless it is meant to be compared as it is.
 _QUERIES: list[Query] = [
     month_slice,
     add_shifted_month,
@@ -485,7 +485,8 @@ _QUERIES: list[Query] = [
 
 def _rounding(query: Query) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return rounded(query(spark, folder))
+        digits = SERIES_DIGITS if query is profit_series else DIGITS
+        return rounded(query(spark, folder), digits)
 
     return run
 

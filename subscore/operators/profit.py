@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,3 +115,33 @@ def profit_series(profit: DataFrame) -> DataFrame:
 def profile_months(lift: DataFrame) -> DataFrame:
     """Months that can be chosen, as text in ascending order."""
     return lift.select(F.col("prof_date").cast("string").alias("prof_month")).distinct().orderBy("prof_month")
+
+
+@dataclass(frozen=True)
+class ProfitReport:
+    """The tables of a profit report, for every month and scenario."""
+
+    headline: DataFrame
+    table: DataFrame
+    series: DataFrame
+    months: DataFrame
+
+
+def profit_report(
+    lift: DataFrame,
+    takeup: Sequence[float] = (DEFAULT_TAKEUP,),
+    fee: Sequence[float] = (DEFAULT_FEE,),
+    loan: Sequence[float] = (DEFAULT_LOAN,),
+) -> ProfitReport:
+    """Report on a lift table, by default for the usual scenario of all its months.
+
+    Filter ``lift`` to a ``prof_date`` to see one month. A lift table has ten
+    rows per month: write it first, so that the four tables do not each make it.
+    """
+    profit = profit_loss(with_scenarios(lift, takeup, fee, loan))
+    return ProfitReport(
+        headline=profit_headline(best_decile(profit)),
+        table=profit_report_table(profit),
+        series=profit_series(profit),
+        months=profile_months(lift),
+    )

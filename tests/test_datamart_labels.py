@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import statistics
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -60,6 +61,24 @@ def test_datamart_keeps_both_outer_sides(spark):
     ]
 
 
+def test_a_subscriber_with_a_third_of_the_daily_rows(spark):
+    daily = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("analytic_id"),
+        F.lit(R1).alias("register_date"),
+        F.date_add(F.lit(date(2019, 6, 1)), (F.col("id") % 30).cast("int")).alias("ddate"),
+        (F.col("id") % 5).alias("top_up_tran"),
+        (F.col("id") % 7).cast("double").alias("top_up_value"),
+    )
+    monthly = datamart.topup_monthly(daily, MONTH)
+    (hot,) = monthly.filter("analytic_id = 'hot'").collect()
+    ids = range(0, 6000, 3)
+    assert hot.sum_monthly_tran_topup == sum(i % 5 for i in ids)
+    assert hot.sum_monthly_topup_value == sum(i % 7 for i in ids)
+    assert math.isclose(hot.sd_monthly_topup_value, statistics.stdev(i % 7 for i in ids))
+    plan = monthly._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") > plan.index("Exchange hashpartitioning")
+
+
 def test_several_months_in_one_pass(spark):
     topup, usage = _topup(spark), _usage(spark)
     july = date(2019, 7, 31)

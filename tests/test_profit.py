@@ -150,6 +150,18 @@ def test_report_and_series(spark):
     }
 
 
+def test_report_of_one_month(spark):
+    lift = metrics.decile_lift_table(_subscribers(spark))
+    report = profit.profit_report(lift.filter(F.col("prof_date") == F.lit(JUNE)), takeup=[35], fee=[3], loan=[50])
+    assert rows(report.months) == [("2019-06-30",)]
+    assert report.table.count() == 10
+    assert report.series.count() == 30
+    (headline,) = report.headline.collect()
+    assert (headline.prof_date, headline.takeup, headline.fee, headline.loan) == (JUNE, 35.0, 3.0, 50.0)
+    best = max(report.table.collect(), key=lambda r: r.p_l)
+    assert headline.decile == best.decile
+
+
 def test_months_are_sorted_text(spark):
     months = profit.profile_months(metrics.decile_lift_table(_subscribers(spark)))
     assert [r.prof_month for r in months.collect()] == ["2019-05-31", "2019-06-30"]

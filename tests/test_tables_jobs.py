@@ -137,6 +137,7 @@ def test_table_profile(spark):
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+    assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
 
 
 @pytest.fixture(scope="module")
