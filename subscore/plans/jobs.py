@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
 from datetime import date
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -56,8 +57,8 @@ from subscore.sources.tables import (
 class MonthlyTables:
     """The monthly tables from which features are built.
 
-    Each holds one row per subscription and month. A repeated key repeats
-    feature rows; ``check_keys`` turns that into an error.
+    Each holds one row per subscription and month. A repeated key would repeat
+    feature rows; ``check_keys`` makes that an error.
     """
 
     profile: DataFrame
@@ -67,20 +68,27 @@ class MonthlyTables:
 
 
 def check_keys(tables: MonthlyTables, month: date) -> None:
-    """Fail if a subscription repeats in a table of ``month``.
+    """Fail if a subscription repeats in a table of ``month`` or in its history.
 
-    Counts keys only, so it costs a narrow scan and shuffle per table.
+    Reads and shuffles keys only, all tables in one job.
     """
-    snapshots = {
-        "profile": profile_snapshot(tables.profile, month),
-        "usage_monthly": usage_snapshot(tables.usage_monthly, month),
-        "topup_survey": survey_snapshot(tables.topup_survey, month),
-        "validity": validity_snapshot(tables.validity, month),
+    profile, usage = tables.profile, tables.usage_monthly
+    read = {
+        "profile": profile_snapshot(profile, month).withColumnRenamed("ddate", "month"),
+        "usage_monthly": usage_snapshot(usage, month).withColumnRenamed("ddate", "month"),
+        "topup_survey": survey_snapshot(tables.topup_survey, month).withColumnRenamed("month_id", "month"),
+        "validity": validity_snapshot(tables.validity, month).withColumnRenamed("ddate", "month"),
+        "profile history": profile_history(profile, month).withColumnRenamed("ddate", "month"),
+        "usage_monthly history": usage_history(usage, month).withColumnRenamed("ddate", "month"),
     }
     known = F.col("analytic_id").isNotNull() & F.col("register_date").isNotNull()
-    for name, snapshot in snapshots.items():
-        if not duplicated_keys(snapshot.filter(known), SUBSCRIPTION_KEY).isEmpty():
-            raise ValueError(f"{name} repeats a subscription in {month}")
+    key = [*SUBSCRIPTION_KEY, "month"]
+    repeated = [
+        duplicated_keys(df.filter(known), key).select(F.lit(name).alias("name"), "month") for name, df in read.items()
+    ]
+    found = reduce(DataFrame.unionByName, repeated).first()
+    if found:
+        raise ValueError(f"{found['name']} repeats a subscription in {found['month']}")
 
 
 def _features(
@@ -174,12 +182,15 @@ def train_month(
     settings: ModelSettings = ModelSettings(),
     lag: int = 0,
     training_table: str | None = None,
+    check: bool = True,
 ) -> TrainingResult:
-    """The whole training job: features, model, reports.
+    """The whole training job: key check, features, model, reports.
 
     Replaces the training table (``training_table``, else a folder), and the
     model and reports below ``folder``.
     """
+    if check:
+        check_keys(tables, month_end(as_of, lag + 1 + LABEL_TO_PROFILE_MONTHS))
     features = build_training_set(loans, tables, as_of, lag)
     training_set = write_feature_set(features, training_table or f"{folder}/training_set")
     result = train(training_set, folder, settings)
@@ -234,10 +245,14 @@ def score_month(
     scoring_table: str | None = None,
     score_table: str | None = None,
     usage_buckets: int = 0,
+    check: bool = True,
 ) -> DataFrame:
-    """The whole scoring job: extend the datamart, build the features, score, export."""
+    """The whole scoring job: extend the datamart, check keys, build features, score, export."""
     append_if_newer(topup_daily, usage_daily, usage_table, as_of, lag + 1, usage_buckets)
     usage = read_table(topup_daily.sparkSession, usage_table)
-    features = build_scoring_set(MonthlyTables(profile, usage, topup_survey, validity), as_of, lag)
+    tables = MonthlyTables(profile, usage, topup_survey, validity)
+    if check:
+        check_keys(tables, month_end(as_of, lag + 1))
+    features = build_scoring_set(tables, as_of, lag)
     written = write_feature_set(features, scoring_table or f"{folder}/scoring_set")
     return score_and_export(written, model, as_of, folder, lag, score_table)

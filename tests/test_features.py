@@ -182,3 +182,7 @@ def test_repeated_keys_are_reported(spark):
     check_keys(tables, MONTH)
     with pytest.raises(ValueError, match="topup_survey repeats"):
         check_keys(MonthlyTables(tables.profile, tables.usage_monthly, _survey(spark, "aa"), tables.validity), MONTH)
+    last = month_end(MONTH, 1)
+    twice = tables.profile.unionByName(_profile(spark, [("c", last, 1.0), ("c", last, 2.0)]))
+    with pytest.raises(ValueError, match=f"profile history repeats a subscription in {last}"):
+        check_keys(MonthlyTables(twice, tables.usage_monthly, tables.topup_survey, tables.validity), MONTH)
