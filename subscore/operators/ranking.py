@@ -15,8 +15,8 @@ from subscore.schemas import CAMPAIGN_SCHEMA, SUBSCRIPTION_KEY
 
 SCORE_DIGITS = 4
 SLICE_DIGITS = 2  # hexadecimal digits: 256 slices per score
-HOT_ROWS = 100_000
-HOT_PARTS = 1000
+HOT_ROWS = 100_000  # a level is hot above this and above
+HOT_PARTS = 1000  # one such part of all rows
 BROADCAST_GROUPS = 50  # of 20,001 rows: some 40 MB at most
 
 
@@ -73,8 +73,9 @@ def ntile_exact(
     3. number the rows inside each cold level or hot part, and add both offsets.
 
     The rows are shuffled once, for the third step, and read three times: ``df``
-    should be a written table. Any score gives exact ranks. Scores rounded to four digits, as ``score_subscribers`` returns them, spread
-    evenly whatever their distribution.
+    should be a written table. Any score gives exact ranks. Scores rounded to
+    four digits, as ``score_subscribers`` returns them, spread evenly whatever
+    their distribution.
     """
     by = list(by)
     text = key_text(tie_break)
