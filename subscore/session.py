@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,13 +49,9 @@ def build_session(
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run's tables, below the cluster's shared folder.
 
-    The shared folder is whatever ``spark.checkpoint.dir`` names. Without it,
-    a local session gets a temporary folder; a cluster session is refused,
-    since a machine-local folder would be lost with its machine.
+    The shared folder is whatever ``spark.checkpoint.dir`` names, or else the
+    session's warehouse, which executors share as well. Folders are not removed
+    here: what was returned may be read until the session ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        return tempfile.mkdtemp(prefix=f"subscore-{name}-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/subscore-{name}-{uuid.uuid4().hex}"
