@@ -13,8 +13,10 @@ from subscore.llm.common import crc_of_id, table
 from subscore.llm.decontamination import find_contamination
 from subscore.llm.mixing import schedule
 from subscore.llm.near_dedup import near_duplicates
+from subscore.llm.ngram_model import fit_ngrams, held_out, score_ngrams, training_rows
 from subscore.llm.secrets import find_secrets, fit_secrets
 from subscore.llm.sharding import assign_shards
+from subscore.llm.suffix_dedup import repeated_passages
 from subscore.llm.token_counts import count_tokens
 from subscore.llm.toxicity import FOLDS, fit_toxicity, score_toxicity
 
@@ -71,6 +73,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(documents, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeated_passages(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return schedule(table(spark, folder, "documents")).drop("_row")
 
@@ -80,6 +87,14 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = fit_ngrams(training_rows(documents))
+    return score_ngrams(documents, model).select(
+        "doc_id", held_out(), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f
