@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,7 @@ from subscore.llm.common import ROW, bitmap, bounded_batches, in_bitmap, mixed,
 BANDS, BAND_SIZE = 42, 6
 SHARED = 0.8
 LEADER_ROUNDS = 3
+PARITIES = 16  # words of 64 bits
 BITMAP_BITS = 24  # 2 MB
 _LOW = np.uint64((1 << 44) - 1)
 
@@ -74,6 +77,11 @@ def _head(digest: bytes) -> int:
     return int.from_bytes(digest[:4], "little")
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    odd = np.bincount((mixed(items) % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(documents: DataFrame, size: int) -> DataFrame:
     """A row per document row: size and digest of its shingle set, and its band keys."""
 
@@ -103,10 +111,10 @@ def _contents(documents: DataFrame, size: int, wanted: np.ndarray) -> DataFrame:
                 digest = _digest(items)
                 if len(items) and digest not in seen and in_bitmap(shared.value, np.array([_head(digest)], np.uint64))[0]:
                     seen.add(digest)
-                    rows.append((digest, items.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["digest", "items"])
+                    rows.append((digest, items.view(np.int64), parities(items)))
+            yield pd.DataFrame(rows, columns=["digest", "items", "parity"])
 
-    return documents.select("text").mapInPandas(scan, "digest binary, items array<bigint>")
+    return documents.select("text").mapInPandas(scan, "digest binary, items array<bigint>, parity array<bigint>")
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -158,10 +166,14 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
        A pair at 0.8 shares none with a chance of 3 in a million.
     3. In each bucket of a key, members are checked against one leader on full
        sets, and linked ones joined to components; ``LEADER_ROUNDS`` times with
-       leaders chosen anew, for members that aren't in the leader's component yet.
-    4. All pairs of a bucket that are still in different components and not yet
-       checked are checked. So no link between components is lost, and a large
-       group of near copies costs a few checks a member, not all its pairs.
+       leaders chosen anew among those that meet most others, for members that
+       aren't in the leader's component yet.
+    4. Pairs of a bucket that are still in different components, not yet checked
+       and not ruled out by a bound are checked. The bound: each bit of
+       ``parity`` says whether a set has an odd number of shingles there, so sets
+       differ in as many shingles as bits at least. No link between components
+       is lost, and a large group of near copies costs a few checks a member, not
+       all its pairs.
 
     Null and empty texts have no shingles and are linked with nothing. Rows that
     repeat an id share a component if their texts do; a null id is never a
@@ -179,7 +191,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
     keys = scanned.join(classes.select(F.col("id").alias(ROW)), ROW).select(
         F.col(ROW).alias("id"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
     )
-    shared_keys = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("key")
+    shared_keys = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     buckets = stored(keys.join(shared_keys, "key"), "buckets")
     ids = buckets.select("id").distinct()
     wanted = stored(classes.join(ids, "id", "left_semi").select("id", "digest"), "wanted")
@@ -188,7 +200,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
         F.concat(*[F.substring(F.hex("digest"), 2 * k + 1, 2) for k in range(3, -1, -1)]), 16, 10
     ).cast("bigint")
     bits = bitmap(wanted.select(low.alias("h")), "h", BITMAP_BITS)
-    contents = _contents(documents, shingle, bits).dropDuplicates(["digest"]).join(wanted, "digest").select("id", "items")
+    contents = _contents(documents, shingle, bits).dropDuplicates(["digest"]).join(wanted, "digest").select("id", "items", "parity")
     contents = stored(contents, "contents")
 
     share = round(similarity * 100)
@@ -208,22 +220,34 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
         if not found.isEmpty():
             labels = components(ids, edges)
 
-    choose: list[Callable] = [lambda k: F.col("id"), lambda k: -F.col("id")]
+    # Who meets many others is close to the middle of a group.
+    met = stored(buckets.groupBy("id").agg(F.sum("rows").alias("met"), F.collect_list("key").alias("keys")), "met")
     for k in range(LEADER_ROUNDS):
-        order = choose[k]("id") if k < len(choose) else F.xxhash64("id", F.lit(k))
-        labelled = buckets.join(labels, "id")
-        leader = F.min(F.struct(order.alias("o"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")))
-        leaders = labelled.groupBy("key").agg(leader.alias("leader")).select("key", "leader.b", "leader.n_b", "leader.c_b")
+        labelled = buckets.join(labels, "id").join(met.select("id", "met"), "id")
+        lot = F.pmod(F.xxhash64("id", F.lit(k)), F.lit(4)) if k else F.lit(0).cast("bigint")
+        order = F.struct(lot.alias("lot"), (-F.col("met")).alias("met"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+        leaders = labelled.groupBy("key").agg(F.min(order).alias("l")).select("key", "l.b", "l.n_b", "l.c_b")
         pairs = labelled.join(leaders, "key").filter((F.col("component") != F.col("c_b")) & sizes_allow)
         check(pairs.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")))
+
     labelled = buckets.join(labels, "id")
     mixed_keys = (
         labelled.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 <> c2").select("key")
     )
-    open_ = stored(labelled.join(mixed_keys, "key"), "open")
-    right = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    rest = open_.join(right, "key").filter((F.col("id") < F.col("b")) & (F.col("component") != F.col("c_b")) & sizes_allow)
-    check(rest.select(F.col("id").alias("a"), "b"))
+    open_ = stored(labelled.join(mixed_keys, "key").select("key", "id", "n", "component"), "open")
+    parity = contents.select("id", "parity").join(met.select("id", "keys"), "id")
+    left = stored(open_.join(parity, "id"), "left")
+    right = left.select("key", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "component", "parity", "keys")])
+    apart = reduce(add, [F.bit_count(F.get("parity", F.lit(k)).bitwiseXOR(F.get("parity_b", F.lit(k)))) for k in range(PARITIES)])
+    rest = left.join(right, "key").filter(
+        (F.col("id") < F.col("id_b"))
+        & (F.col("component") != F.col("component_b"))
+        & sizes_allow
+        & ((100 + share) * apart <= (100 - share) * (F.col("n") + F.col("n_b")))
+        # A pair is taken from the first of the buckets that it shares.
+        & (F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key"))
+    )
+    check(rest.select(F.col("id").alias("a"), F.col("id_b").alias("b")))
 
     of_class = classes.join(labels, "id", "left").withColumn("component", F.coalesce("component", F.col("id")))
     least = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
