@@ -210,7 +210,8 @@ def impute_zero(spark, folder):
 
 
 def assemble_clean_base(spark, folder):
-    return cleansing.assemble_clean_base(_with_history(spark, folder), training=False)
+    spine = jobs.profile_spine(v.profile(spark, folder, v.SCORING_MONTH), v.SCORING_MONTH)
+    return cleansing.assemble_clean_base(_with_history(spark, folder), training=False, fit_on=spine)
 
 
 def regroup_segment(spark, folder):
@@ -330,7 +331,8 @@ def write_scores(spark, folder):
 
 
 def decile_lift_table(spark, folder):
-    scored = v.scored_subscribers(spark, folder, months=2)
+    path = f"{shared_folder(spark, 'scored')}/scored"
+    scored = tables.write_feature_set(v.scored_subscribers(spark, folder, months=2), path)
     ranked = ranking.ntile_exact(scored, "score", {"decile": 10}, by=["prof_date"], descending=True)
     return metrics.decile_lift_table(ranked)
 

@@ -52,3 +52,29 @@ def with_positions(
         .withColumn(position, F.col("_at") + F.col("_offset"))
         .select(*df.columns, position, rows)
     )
+
+
+def with_running_sums(df: DataFrame, order: Sequence[Column], sums: Sequence[str], path: str) -> DataFrame:
+    """Add, for each column of ``sums``, its sum over the rows before (``before_``) and over all (``total_``).
+
+    As ``with_positions``: ranges, sums within a partition, and the sums of the
+    partitions before it. No row number is bounded, and no task sees all rows.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    numbered = df.sparkSession.read.parquet(path).withColumn("_part", F.shiftright("_at", PART_BITS))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    parts = numbered.groupBy("_part").agg(*[F.sum(c).alias(c) for c in sums])
+    parts = parts.select(
+        "_part",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_part_{c}") for c in sums],
+        *[F.sum(c).over(everything).alias(f"total_{c}") for c in sums],
+    )
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    within = numbered.withColumns({f"_in_{c}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
+    return within.join(parts, "_part").select(
+        *df.columns,
+        *[(F.col(f"_in_{c}") + F.col(f"_part_{c}")).alias(f"before_{c}") for c in sums],
+        *[f"total_{c}" for c in sums],
+    )

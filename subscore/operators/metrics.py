@@ -1,9 +1,8 @@
 """Ranking quality: area under the curve, its points, gains, decile lift.
 
-All but the gains groups come from a histogram of the score, so the rows are
-read once and combined on the map side. Scores are probabilities rounded to
-four digits: a histogram has at most 10,001 rows, few enough for one ordered
-window.
+All but the gains groups come from the counts per distinct score, combined on the map
+side. Scores are taken as they are; their running sums are summed up by ranges, so
+there may be as many distinct scores as rows.
 """
 
 from __future__ import annotations
@@ -13,23 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from subscore.operators.ranking import SCORE_DIGITS, ntile_exact
+from subscore.functions.positions import with_running_sums
+from subscore.operators.ranking import ntile_exact
 from subscore.schemas import LIFT_SCHEMA, SUBSCRIPTION_KEY
+from subscore.session import shared_folder
 
 
 def score_histogram(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Rows of each class per score; unlabelled rows do not count.
-
-    A score outside [0, 1] is an error: it would break the bound on the
-    number of distinct scores.
-    """
-    value = F.col(score)
-    probability = F.when(value.between(0, 1), F.round(value, SCORE_DIGITS)).otherwise(
-        F.raise_error(F.lit(f"{score} is not a probability"))
-    )
+    """Rows of each class per distinct score; unlabelled rows do not count."""
     return (
-        df.filter(F.col(label).isNotNull() & value.isNotNull())
-        .groupBy(probability.alias("score"))
+        df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
+        .groupBy(F.col(score).alias("score"))
         .agg(
             F.count_if(F.col(label) == 1).alias("events"),
             F.count_if(F.col(label) == 0).alias("nonevents"),
@@ -39,11 +32,9 @@ def score_histogram(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """Chance that an event scores above a non-event, ties counting one half."""
-    below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = score_histogram(df, score, label).withColumn(
-        "below", F.coalesce(F.sum("nonevents").over(below), F.lit(0))
-    )
-    wins = F.sum(F.col("events") * (F.col("below") + F.col("nonevents") / 2))
+    path = f"{shared_folder(df.sparkSession, 'auc')}/histogram"
+    histogram = with_running_sums(score_histogram(df, score, label), [F.asc("score")], ["nonevents"], path)
+    wins = F.sum(F.col("events") * (F.col("before_nonevents") + F.col("nonevents") / 2))
     pairs = F.sum("events").cast("double") * F.sum("nonevents")
     return histogram.agg(
         F.sum("events").alias("n_events"),
@@ -54,16 +45,14 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
     """True and false positive rate when every score from the threshold up is positive."""
-    down_to = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    path = f"{shared_folder(df.sparkSession, 'roc')}/histogram"
     rates = {"true": "events", "false": "nonevents"}
-    return score_histogram(df, score, label).select(
+    histogram = with_running_sums(score_histogram(df, score, label), [F.desc("score")], list(rates.values()), path)
+    upto = {kind: F.col(f"before_{c}") + F.col(c) for kind, c in rates.items()}
+    return histogram.select(
         F.col("score").alias("threshold"),
-        *[F.sum(c).over(down_to).alias(f"{kind}_positives") for kind, c in rates.items()],
-        *[
-            F.try_divide(F.sum(c).over(down_to), F.sum(c).over(everything)).alias(f"{kind}_positive_rate")
-            for kind, c in rates.items()
-        ],
+        *[n.alias(f"{kind}_positives") for kind, n in upto.items()],
+        *[F.try_divide(upto[kind], F.col(f"total_{c}")).alias(f"{kind}_positive_rate") for kind, c in rates.items()],
     )
 
 

@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.schemas import CATEGORICAL, feature_columns
+from subscore.session import shared_folder
 
 LABEL = "bad_flag"
+SCORE_DIGITS = 4
 
 
 @dataclass(frozen=True)
@@ -55,9 +57,12 @@ def train_classifier(train: DataFrame, settings: ModelSettings = ModelSettings()
     """Fit encoder and trees on the labelled rows.
 
     Tree growing is distributed over the rows. Its lineage is cut at every
-    tenth tree if the session names a checkpoint folder
-    (``spark.checkpoint.dir``).
+    tenth tree, in the session's checkpoint folder (``spark.checkpoint.dir``); a
+    session without one gets a folder below its warehouse.
     """
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(train.sparkSession, "checkpoints"))
     trees = GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -99,10 +104,12 @@ def variable_importance(model: PipelineModel) -> DataFrame:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``p0``, the rounded chance of paying back, and ``p1`` = 1 - ``p0``."""
-    scored = model.transform(df).withColumn("p0", F.round(vector_to_array("probability")[0], 4))
-    return scored.withColumn("p1", F.round(1 - F.col("p0"), 4)).select(*df.columns, "p0", "p1")
+    """Add ``p0``, the chance of paying back, and ``p1`` = 1 - ``p0``, both as the model gives them."""
+    scored = model.transform(df).withColumn("p0", vector_to_array("probability")[0])
+    return scored.withColumn("p1", 1 - F.col("p0")).select(*df.columns, "p0", "p1")
 
 
 def score_subscribers(df: DataFrame, model: PipelineModel) -> DataFrame:
-    return predict(model, df).select("crm_sub_id", "analytic_id", "register_date", "p0")
+    """Scores as they are delivered: ``p0`` in four digits."""
+    scored = predict(model, df).withColumn("p0", F.round("p0", SCORE_DIGITS))
+    return scored.select("crm_sub_id", "analytic_id", "register_date", "p0")

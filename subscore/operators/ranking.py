@@ -4,21 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscore.functions.hashing import key_text
+from subscore.functions.positions import with_positions
 from subscore.schemas import CAMPAIGN_SCHEMA, SUBSCRIPTION_KEY
-
-SCORE_DIGITS = 4
-SLICE_DIGITS = 2  # hexadecimal digits: 256 slices per score
-HOT_ROWS = 100_000  # a level is hot above this and above
-HOT_PARTS = 1000  # one such part of all rows
-BROADCAST_GROUPS = 50  # of 20,001 rows: some 40 MB at most
-
+from subscore.session import shared_folder
 
 def _div(dividend: Column, divisor: Column) -> Column:
     """Whole-number division."""
@@ -37,12 +30,6 @@ def _bucket(position: Column, rows: Column, buckets: int) -> Column:
     )
 
 
-def _few_groups(df: DataFrame, by: Sequence[str]) -> bool:
-    if not by:
-        return True
-    return df.select(*by).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
-
-
 def ntile_exact(
     df: DataFrame,
     score: str,
@@ -50,77 +37,29 @@ def ntile_exact(
     tie_break: Sequence[str] = SUBSCRIPTION_KEY,
     by: Sequence[str] = (),
     descending: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equal-count buckets by score: ``ntile`` over all rows, or per ``by`` group.
 
     ``buckets`` names each new column and its number of buckets. Ties are
-    ordered by the MD5 of the ``tie_break`` text, then by that text; rows
-    without a score or group get no bucket.
-
-    A global ``ntile`` window would bring all rows to one task. Instead:
-
-    1. count rows per level, the score in whole ten-thousandths within [-1, 1],
-       and sum the counts up: the number of rows before each level. At most
-       20,001 levels exist (per ``by`` group), so one task can do this. They are
-       broadcast to the rows if there are at most ``BROADCAST_GROUPS`` groups,
-       which is counted first; otherwise Spark chooses the join.
-    2. a level is hot if it holds over ``hot_rows`` rows and over a thousandth of
-       all. Hot levels are cut by score and by slice, the first digits of the
-       tie-break hash. Slices follow the tie order and are even, so a score that
-       a third of the rows share becomes 256 equal parts. Counting these again
-       gives the number of rows before each part of its level.
-    3. number the rows inside each cold level or hot part, and add both offsets.
-
-    The rows are shuffled once, for the third step, and read three times: ``df``
-    should be a written table. Any score gives exact ranks. Scores rounded to
-    four digits, as ``score_subscribers`` returns them, spread evenly whatever
-    their distribution.
+    ordered by the MD5 of the ``tie_break`` text, then by that text. Rows without
+    a score get no bucket; a null group is a group, as in SQL.
+
+    A global ``ntile`` window would bring all rows to one task. Instead, rows are
+    dealt out by ranges of (group, score, tie order) and numbered there, see
+    ``with_positions``: one shuffle of the rows whatever their scores, groups and
+    ties, since the tie order cuts a score that very many rows share. ``df`` is
+    read twice or more: it should be a written table.
     """
-    by = list(by)
     text = key_text(tie_break)
-    rows = df.withColumn("_score", -F.col(score) if descending else F.col(score))
-    clamped = F.least(F.greatest(F.col("_score").cast("double"), F.lit(-1.0)), F.lit(1.0))
-    level = F.floor(clamped * 10**SCORE_DIGITS).cast("int")
-    rows = rows.withColumn("_level", F.when(F.col("_score").isNotNull(), level))
-
-    whole = Window.partitionBy(*by)
-    up_to_level = whole.orderBy("_level").rowsBetween(Window.unboundedPreceding, -1)
-    in_group = reduce(and_, [F.col(c).isNotNull() for c in [*by, "_level"]])
-    levels = rows.filter(in_group).groupBy(*by, "_level").agg(F.count(F.lit(1)).alias("_count"))
-    levels = levels.select(
-        *by,
-        "_level",
-        "_count",
-        F.coalesce(F.sum("_count").over(up_to_level), F.lit(0)).alias("_before_level"),
-        F.sum("_count").over(whole).alias("_rows"),
-    )
-    is_hot = F.col("_count") > F.greatest(F.lit(hot_rows), _div(F.col("_rows"), F.lit(HOT_PARTS)))
-    levels = levels.withColumn("_hot", is_hot).drop("_count")
-
-    if _few_groups(df, by):
-        levels = F.broadcast(levels)
-    rows = rows.join(levels, [*by, "_level"], "left")
-    # Rows without a level get no rank, but there may be many: spread them too.
-    cut = F.coalesce("_hot", F.lit(True))
-    rows = rows.withColumns(
-        {"_value": F.when(cut, F.col("_score")), "_slice": F.when(cut, F.substring(F.md5(text), 1, SLICE_DIGITS))}
-    )
-    part = [*by, "_level", "_value", "_slice"]
-    inside = Window.partitionBy(*by, "_level").orderBy("_value", "_slice").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        rows.filter("_hot")
-        .groupBy(*part)
-        .agg(F.count(F.lit(1)).alias("_count"))
-        .select(*part, F.sum("_count").over(inside).alias("_before_part"))
-    )
-    # The tie order is computed behind the shuffle, which then carries less.
-    number = F.row_number().over(Window.partitionBy(*part).orderBy("_score", F.md5(text), text))
-    position = F.col("_before_level") + F.coalesce("_before_part", F.lit(0)) + number - 1
-    ranked = rows.join(parts, part, "left").withColumn("_position", position)
-    return ranked.select(
+    by_score = F.desc(score) if descending else F.asc(score)
+    known = df.filter(F.col(score).isNotNull())
+    path = f"{shared_folder(df.sparkSession, 'ranks')}/ranked"
+    ranked = with_positions(known, by, [by_score, F.md5(text), text], path)
+    ranked = ranked.select(
         *df.columns, *[_bucket(F.col("_position"), F.col("_rows"), k).alias(name) for name, k in buckets.items()]
     )
+    without = df.filter(F.col(score).isNull())
+    return ranked.unionByName(without.select("*", *[F.lit(None).cast("int").alias(name) for name in buckets]))
 
 
 def rank_scores(scores: DataFrame, prof_date: date) -> DataFrame:

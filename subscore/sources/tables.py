@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,19 +68,31 @@ def replace_month(df: DataFrame, target: str, month_column: str, month: date, bu
     )
 
 
+# Fixed value: the name of a partition without a value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def latest_month(spark: SparkSession, target: str, month_column: str = "ddate") -> date | None:
     """Newest month of a table, None if it is empty or missing.
 
-    Reads the partition column only, of which the files hold nothing.
+    Lists partitions, in the catalog or in the folder, and opens no file.
     """
-    try:
-        table = read_table(spark, target)
-    except AnalysisException as error:
-        # Spark's error conditions for a missing and an empty table.
-        if error.getCondition() in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}:
+    if "/" in target:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not system.exists(folder):
+            return None
+        names = [status.getPath().getName() for status in system.listStatus(folder)]
+        names = [n for n in names if not n.startswith((".", "_"))]
+        if names and not any(n.startswith(f"{month_column}=") for n in names):
+            raise ValueError(f"{target} is not partitioned by {month_column}")
+    else:
+        if not spark.catalog.tableExists(target):
             return None
-        raise
-    return table.agg(F.max(month_column)).first()[0]
+        names = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+    prefix = f"{month_column}="
+    months = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    return max((date.fromisoformat(m) for m in months if m != NULL_PARTITION), default=None)
 
 
 def append_if_newer(

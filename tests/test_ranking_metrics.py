@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from subscore.functions import hashing
+from subscore.functions.positions import with_positions
 from subscore.operators import metrics, ranking
 from subscore.schemas import SCORES_SCHEMA, SUBSCRIPTION_KEY
 from tests.conftest import rows
@@ -40,53 +41,52 @@ CASES = {
     "hot score among close ones": [0.5 if i % 3 == 0 else 0.49996 + i / 1e7 for i in range(600)],
     "some missing": [None if i % 4 == 0 else i / 100 for i in range(90)],
     "single": [0.4],
+    "points from 300 to 850": [300 + (i * 7919) % 551 for i in range(400)],
+    "unrounded, one of them hot": [1 / 3 if i % 3 == 0 else i / 997 for i in range(700)],
 }
 
 
 @pytest.mark.parametrize("case", CASES)
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("hot_rows", [0, 3, ranking.HOT_ROWS])
-def test_ntile_equals_brute_force(spark, case, descending, hot_rows):
-    scores = CASES[case]
-    ranked = ranking.ntile_exact(
-        _scored(spark, scores), "score", {"k7": 7, "k10": 10}, descending=descending, hot_rows=hot_rows
-    )
+def test_ntile_equals_brute_force(spark, case, descending):
+    scores = [s if s is None else float(s) for s in CASES[case]]
+    ranked = ranking.ntile_exact(_scored(spark, scores), "score", {"k7": 7, "k10": 10}, descending=descending)
     got = {r.analytic_id: (r.k7, r.k10) for r in ranked.collect()}
     expected = zip(_brute_force(scores, 7, descending), _brute_force(scores, 10, descending), strict=True)
     assert got == {f"s{i:05d}": pair for i, pair in enumerate(expected)}
 
 
-@pytest.mark.parametrize("groups", [1, ranking.BROADCAST_GROUPS])
-@pytest.mark.parametrize("hot_rows", [5, ranking.HOT_ROWS])
-def test_ntile_per_group_equals_the_window_function(spark, monkeypatch, hot_rows, groups):
-    monkeypatch.setattr(ranking, "BROADCAST_GROUPS", groups)
+@pytest.mark.parametrize("groups", [2, 1000])
+def test_ntile_per_group_equals_the_window_function(spark, groups):
     rng = np.random.default_rng(3)
-    month = F.when(F.xxhash64("analytic_id") % 3 == 0, "may").when(F.xxhash64("analytic_id") % 3 == 1, "june")
-    df = _scored(spark, np.round(rng.random(2000), 2).tolist()).withColumn("month", month)
-    ranked = ranking.ntile_exact(df, "score", {"k": 10, "k100": 100}, by=["month"], hot_rows=hot_rows)
-    assert ranked.filter("month IS NULL AND k IS NULL").count() == df.filter("month IS NULL").count()
+    group = F.pmod(F.xxhash64("analytic_id"), F.lit(groups + 1))
+    df = _scored(spark, np.round(rng.random(2000), 2).tolist())
+    df = df.withColumn("month", F.when(group < groups, group.cast("string")))
+    ranked = ranking.ntile_exact(df, "score", {"k": 10, "k100": 100}, by=["month"])
+    assert ranked.count() == 2000 and ranked.filter("k IS NULL").count() == 0
     text = hashing.key_text(SUBSCRIPTION_KEY)
     window = Window.partitionBy("month").orderBy("score", F.md5(text), text)
-    known = ranked.filter("month IS NOT NULL")
-    checked = known.withColumns({"e": F.ntile(10).over(window), "e100": F.ntile(100).over(window)})
+    checked = ranked.withColumns({"e": F.ntile(10).over(window), "e100": F.ntile(100).over(window)})
     assert checked.filter("NOT (k <=> e AND k100 <=> e100)").count() == 0
 
 
-def test_a_hot_score_is_cut_and_the_rows_are_shuffled_once(spark, tmp_path):
-    path = str(tmp_path / "scores")
-    _scored(spark, [0.5] * 3000).write.parquet(path)
-    ranked = ranking.ntile_exact(spark.read.parquet(path), "score", {"k": 10}, hot_rows=100)
-    assert ranked.groupBy("k").count().filter("count <> 300").count() == 0
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_a_hot_score_is_dealt_over_tasks_and_no_task_gets_all_rows(spark, tmp_path):
+    path, ranked_path = str(tmp_path / "scores"), str(tmp_path / "ranked")
+    _scored(spark, [0.5] * 30000).write.parquet(path)
+    df = spark.read.parquet(path)
+    with_positions(df, [], [F.asc("score"), F.md5("analytic_id")], ranked_path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        plan = ranked.select("*")._jdf.queryExecution().executedPlan().toString()
+        again = with_positions(df, [], [F.asc("score"), F.md5("analytic_id")], ranked_path)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    whole_rows = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_slice" in line]
-    # The rows, the counts of the parts, and the same counts after adding them up.
-    assert len(whole_rows) == 3
-    single = plan.split("Exchange SinglePartition")[1:]
-    assert single and all("HashAggregate(keys=[_level" in part.splitlines()[1] for part in single)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(ranked_path).groupBy(F.input_file_name()).count()
+    assert files.count() == 4 and files.filter("count > 12000").count() == 0
+    ranked = ranking.ntile_exact(df, "score", {"k": 10})
+    assert ranked.groupBy("k").count().filter("count <> 3000").count() == 0
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    for part in plan.split("Exchange SinglePartition")[1:]:  # counts per partition only
+        assert "HashAggregate" in part.splitlines()[1] or "HashAggregate" in part.splitlines()[2]
 
 
 def test_campaign_list(spark):
@@ -122,9 +122,13 @@ def test_auc_without_events_is_null(spark):
     assert metrics.auc(_labelled(spark).withColumn("bad", F.lit(0)), "score", "bad").first().auc is None
 
 
-def test_a_score_that_is_no_probability_is_refused(spark):
-    with pytest.raises(Exception, match="not a probability"):
-        metrics.auc(_labelled(spark).withColumn("score", F.col("score") * 2), "score", "bad").collect()
+def test_scores_of_any_range_and_fineness_keep_their_order(spark):
+    df = _labelled(spark)
+    expected = metrics.auc(df, "score", "bad").first().auc
+    for other in (F.col("score") * 550 + 300, F.col("score") / 1e9 - 5):
+        assert metrics.auc(df.withColumn("score", other), "score", "bad").first().auc == pytest.approx(expected)
+    fine = df.withColumn("score", F.col("score") + F.monotonically_increasing_id() / 1e12)
+    assert metrics.roc_points(fine, "score", "bad").count() == df.filter("bad IS NOT NULL").count()
 
 
 def test_roc_points(spark):
