@@ -54,7 +54,6 @@ def exact_duplicates(documents: DataFrame) -> DataFrame:
         named = listed.withColumn("key", F.transform("recipe", lambda h: h.cast("string")))
     else:
         # Hashes of several contents: the content itself takes their place.
-        texts = numbered(documents).select(ROW, "text")
         pairs = chunked.select(ROW, F.posexplode("chunks").alias("at", "chunk")).withColumn("h", F.xxhash64("chunk"))
         resolved = (
             pairs.join(ambiguous.withColumn("_twice", F.lit(True)), "h", "left")
@@ -62,7 +61,6 @@ def exact_duplicates(documents: DataFrame) -> DataFrame:
             .groupBy(ROW)
             .agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "id"))), lambda x: x["id"]).alias("key"))
         )
-        del texts
         named = listed.join(resolved, ROW, "left").withColumn("key", F.coalesce("key", F.array().cast("array<string>")))
     named = named.withColumn("key", F.concat_ws(",", "key"))
     first = F.min_by(F.struct("doc_id", ROW), F.struct(F.col("doc_id").isNull(), "doc_id", ROW))
