@@ -144,6 +144,17 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after further ``links`` (``a``, ``b``): only the components they touch are gone through again."""
+    ends = [labels.select(F.col("id").alias(c), F.col("component").alias(f"c_{c}")) for c in ("a", "b")]
+    between = links.join(ends[0], "a").join(ends[1], "b").filter("c_a <> c_b")
+    between = stored(between.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct(), "between")
+    touched = between.select(F.col("a").alias("id")).unionByName(between.select(F.col("b").alias("id"))).distinct()
+    named = components(touched, between).select(F.col("id").alias("_old"), F.col("component").alias("_new"))
+    after = labels.join(named, F.col("component") == F.col("_old"), "left")
+    return stored(after.select("id", F.coalesce("_new", "component").alias("component")), "joined")
+
+
 def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataFrame:
     """Those of the pairs whose full sets share enough: in whole hundredths, so that a tie counts."""
     a = contents.select(F.col("id").alias("a"), F.col("items").alias("of_a"))
@@ -206,19 +217,18 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
     share = round(similarity * 100)
     sizes_allow = (100 * F.least("n", "n_b") >= share * F.greatest("n", "n_b"))
     labels = stored(ids.select("id", F.col("id").alias("component")), "first")
-    edges = checked = None
+    checked = None
 
     def check(pairs: DataFrame) -> None:
-        nonlocal edges, checked, labels
+        nonlocal checked, labels
         pairs = pairs.distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(_verified(pairs, contents, similarity), "links")
-        edges = found if edges is None else edges.unionByName(found)
         checked = pairs if checked is None else checked.unionByName(pairs)
         if not found.isEmpty():
-            labels = components(ids, edges)
+            labels = joined(labels, found)
 
     # Who meets many others is close to the middle of a group.
     met = stored(buckets.groupBy("id").agg(F.sum("rows").alias("met"), F.collect_list("key").alias("keys")), "met")
