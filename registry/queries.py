@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 4
 SERIES_DIGITS = 9  # profit in millions is small in small data
-SMALL_MODEL = model.ModelSettings(sample_fraction=1.0, trees=10, rate=0.1, depth=4)
+# Production trees; the given tables have few labelled rows, so that all of them are used.
+SETTINGS = model.ModelSettings(sample_fraction=1.0)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
@@ -291,10 +292,39 @@ def encode_features(spark, folder):
     )
 
 
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def _trained(spark, folder):
+    """Where the training job has put its model and reports: it runs once for an application and its tables."""
+    run = (spark.sparkContext.applicationId, folder)
+    if run not in _TRAINED:
+        target = shared_folder(spark, "train")
+        t = v.monthly_tables(spark, folder, v.TRAINING_MONTH)
+        jobs.train_month(v.loans(spark, folder), t, v.AS_OF, target, SETTINGS)
+        _TRAINED[run] = target
+    return _TRAINED[run]
+
+
+def _flag(condition):
+    return F.coalesce(condition, F.lit(False)).cast("int")
+
+
+def _delivered(score):
+    """A chance in the digits in which scores are delivered."""
+    return _flag(F.col(score).between(0, 1) & (F.col(score) == F.round(score, model.SCORE_DIGITS)))
+
+
 def train_classifier(spark, folder):
-    rows = _training_table(spark, folder)
-    fitted = model.train_classifier(rows, SMALL_MODEL)
-    return model.predict(fitted, rows).select(*SUBSCRIPTION_KEY, "bad_flag", "p0", "p1")
+    """Each training row, and whether the two chances that the model gives it are chances and add up to one."""
+    target = _trained(spark, folder)
+    predicted = model.predict(model.load_model(f"{target}/model"), spark.read.parquet(f"{target}/training_set"))
+    return predicted.select(
+        *SUBSCRIPTION_KEY,
+        "bad_flag",
+        _flag(F.col("p0").between(0, 1) & F.col("p1").between(0, 1)).alias("in_range"),
+        _flag(F.abs(F.col("p0") + F.col("p1") - 1) < 1e-12).alias("sums_to_one"),
+    )
 
 
 def auc(spark, folder):
@@ -306,7 +336,14 @@ def roc_points(spark, folder):
 
 
 def variable_importance(spark, folder):
-    return model.variable_importance(model.train_classifier(_training_table(spark, folder), SMALL_MODEL))
+    """Each predictor once, and whether shares add up to one and the largest scaled one is one."""
+    predictors = Window.partitionBy()
+    return model.variable_importance(model.load_model(f"{_trained(spark, folder)}/model")).select(
+        "variable",
+        _flag((F.col("relative_importance") >= 0) & F.col("scaled_importance").between(0, 1)).alias("in_range"),
+        _flag(F.abs(F.sum("percentage").over(predictors) - 1) < 1e-9).alias("shares_sum_to_one"),
+        _flag(F.max("scaled_importance").over(predictors) == 1).alias("largest_is_one"),
+    )
 
 
 def gains_lift(spark, folder):
@@ -314,9 +351,10 @@ def gains_lift(spark, folder):
 
 
 def score_subscribers(spark, folder):
-    path = f"{shared_folder(spark, 'model')}/model"
-    model.save_model(model.train_classifier(_training_table(spark, folder), SMALL_MODEL), path)
-    return model.score_subscribers(build_scoring_set(spark, folder), model.load_model(path))
+    """Each scored subscription, and whether its score is a chance of four digits."""
+    fitted = model.load_model(f"{_trained(spark, folder)}/model")
+    scores = model.score_subscribers(build_scoring_set(spark, folder), fitted)
+    return scores.select("crm_sub_id", *SUBSCRIPTION_KEY, _delivered("p0").alias("delivered"))
 
 
 def _scores(spark, folder):
@@ -400,28 +438,64 @@ def build_scoring_set(spark, folder):
 
 
 def train(spark, folder):
-    t = v.monthly_tables(spark, folder, v.TRAINING_MONTH)
-    target = shared_folder(spark, "train")
-    return jobs.train_month(v.loans(spark, folder), t, v.AS_OF, target, SMALL_MODEL).gains
+    """The gains report: group sizes, the rate of all groups, and whether thresholds fall."""
+    gains = spark.read.option("header", True).csv(f"{_trained(spark, folder)}/gains").select(
+        F.col("group").cast("int").alias("group"),
+        *[F.col(c).cast("double").alias(c) for c in ("cumulative_data_fraction", "lower_threshold", "cumulative_response_rate")],
+    )
+    groups = Window.orderBy("group")
+    last = F.max_by("cumulative_response_rate", "group").over(Window.partitionBy())
+    before = F.lag("lower_threshold").over(groups)
+    return gains.select(
+        "group",
+        "cumulative_data_fraction",
+        last.alias("response_rate_of_all"),
+        _flag(before.isNull() | (F.col("lower_threshold") <= before)).alias("threshold_falls"),
+    )
+
+
+def _rank_sizes(campaign, rank):
+    """Subscribers per rank, and whether none of them scores less than anyone of the next rank."""
+    per_rank = campaign.groupBy(F.col(rank).alias("rank")).agg(
+        F.count(F.lit(1)).alias("subscribers"), F.min("ea_score").alias("low"), F.max("ea_score").alias("top")
+    )
+    following = F.lead("top").over(Window.orderBy("rank"))
+    return per_rank.select(
+        F.lit(rank).alias("kind"),
+        "rank",
+        "subscribers",
+        _flag(following.isNull() | (F.col("low") >= following)).alias("in_order"),
+    )
 
 
 def score_and_export(spark, folder):
+    """The list's subscriptions and whether their scores are delivered as promised; sizes and order of the ranks."""
     target = shared_folder(spark, "score")
     usage_table = f"{target}/usage_monthly"
     topup, usage = v.topup_daily(spark, folder, v.SCORING_MONTH, 3), v.usage_daily(spark, folder, v.SCORING_MONTH, 3)
     for lag in (3, 2):
         tables.append_if_newer(topup, usage, usage_table, v.AS_OF, lag)
-    return jobs.score_month(
+    campaign = jobs.score_month(
         topup,
         usage,
         usage_table,
         v.profile(spark, folder, v.SCORING_MONTH),
         v.topup_survey(spark, folder, v.SCORING_MONTH),
         v.validity(spark, folder, v.SCORING_MONTH),
-        model.train_classifier(_training_table(spark, folder), SMALL_MODEL),
+        f"{_trained(spark, folder)}/model",
         v.AS_OF,
         target,
     )
+    listed = campaign.select(
+        F.lit("subscription").alias("kind"),
+        "crm_sub_id",
+        *SUBSCRIPTION_KEY,
+        "charge_type",
+        "prof_date",
+        _delivered("ea_score").alias("in_order"),
+    )
+    ranks = _rank_sizes(campaign, "ea_decile").unionByName(_rank_sizes(campaign, "ea_percentile"))
+    return listed.unionByName(ranks, allowMissingColumns=True)
 
 
 _QUERIES: list[Query] = [

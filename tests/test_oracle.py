@@ -16,16 +16,6 @@ from tests.conftest import TESTDATA
 QUERIES = queries.all_queries()
 STATEMENTS = oracle.all_statements()
 
-# Not expressible in SQL: they fit or apply the classifier.
-WITHOUT_SQL = {
-    "train_classifier",
-    "variable_importance",
-    "score_subscribers",
-    "train",
-    "score_and_export",
-}
-
-
 @pytest.fixture(scope="module")
 def duck(data_folder):
     connection = duckdb.connect()
@@ -42,9 +32,8 @@ def _text(value):
     return repr(value)
 
 
-def test_every_query_has_sql_or_a_reason():
-    assert set(QUERIES) == set(STATEMENTS) | WITHOUT_SQL
-    assert not set(STATEMENTS) & WITHOUT_SQL
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(STATEMENTS)
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))
