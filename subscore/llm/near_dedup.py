@@ -193,15 +193,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float =
     spark = documents.sparkSession
     bounded_batches(spark)
     scanned = stored(_sets(documents, shingle), "sets")
+    # The keys follow from the set, so that they come along with the class, in one shuffle.
     classes = stored(
         scanned.filter("n_shingles > 0")
         .groupBy("digest", "n_shingles")
-        .agg(F.min(ROW).alias("id"), F.min("doc_id").alias("first")),
+        .agg(F.min(ROW).alias("id"), F.min("doc_id").alias("first"), F.any_value("keys").alias("keys")),
         "classes",
     )
-    keys = scanned.join(classes.select(F.col("id").alias(ROW)), ROW).select(
-        F.col(ROW).alias("id"), F.col("n_shingles").alias("n"), F.explode("keys").alias("key")
-    )
+    keys = classes.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
+    classes = classes.drop("keys")
     shared_keys = keys.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     buckets = stored(keys.join(shared_keys, "key"), "buckets")
     ids = buckets.select("id").distinct()
