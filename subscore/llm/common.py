@@ -53,8 +53,12 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """``df`` with a number of its own per row; use it on a scan and store what comes of it."""
-    return df.withColumn(ROW, F.monotonically_increasing_id())
+    """``df`` with a number of its own per row; use it on a scan and store what comes of it.
+
+    A second scan may be split otherwise and number the rows otherwise. What is joined
+    by numbers must be numbered once and stored; such a table keeps its numbers here.
+    """
+    return df if ROW in df.columns else df.withColumn(ROW, F.monotonically_increasing_id())
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -126,7 +126,7 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
 
 def mixed_documents(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
     """All documents in the order of the mixture: file by file, row by row."""
-    rows = numbered(documents)
-    places = schedule(documents, weights, block).select(F.col(ROW), "slot", "place")
+    rows = stored(numbered(documents), "rows")
+    places = schedule(rows, weights, block).select(F.col(ROW), "slot", "place")
     joined = rows.join(places.withColumnsRenamed({"slot": "_slot", "place": "_place"}), ROW)
     return joined.repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place").select(*documents.columns)

@@ -94,7 +94,7 @@ def _sets(documents: DataFrame, size: int) -> DataFrame:
                 keys=[band_keys(sketch(x, BANDS * BAND_SIZE), BAND_SIZE).view(np.int64) if len(x) else [] for x in found],
             )
 
-    rows = numbered(documents.select("doc_id", "text"))
+    rows = numbered(documents).select(ROW, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInPandas(scan, f"doc_id {kind}, {ROW} bigint, n_shingles bigint, digest binary, keys array<bigint>")
 

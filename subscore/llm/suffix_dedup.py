@@ -212,7 +212,7 @@ def _scan(documents: DataFrame) -> DataFrame:
                     yield pd.DataFrame({ROW: row} | columns)
 
     shape = f"{ROW} bigint, key bigint, d1 bigint, d2 bigint, first bigint, last bigint"
-    return numbered(documents.select("text")).mapInPandas(scan, shape)
+    return numbered(documents).select(ROW, "text").mapInPandas(scan, shape)
 
 
 def _texts_of(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -299,6 +299,7 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     bounded_batches(spark, 200)
+    documents = stored(numbered(documents.select("doc_id", "text")), "rows")
     rows = stored(_scan(documents), "stretches")
     content = ["key", "d1", "d2"]
     classes = stored(rows.groupBy(*content).agg(F.count(F.lit(1)).alias("n")), "contents")
@@ -346,5 +347,5 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     shape = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<a:bigint,b:bigint>>, kept binary"
-    return numbered(documents.select("doc_id", "text")).join(hit, ROW, "left").mapInPandas(cut, shape)
+    return documents.join(hit, ROW, "left").mapInPandas(cut, shape)
 
