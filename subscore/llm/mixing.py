@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
-from collections.abc import Mapping
+import math
+from array import array
+from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.functions.positions import with_positions
-from subscore.llm.common import ROW, numbered, stored
+from subscore.llm.common import ROW, bounded_batches, numbered, stored
 from subscore.session import shared_folder
 
 BLOCK = 16  # documents
-PERIOD = 1000  # slots in which shares are whole numbers
+PERIOD = 1000  # slots in which ``shares`` are whole numbers
+PIECE = 1 << 16  # slots of the plan that go to executors as one row
 MOST_SOURCES = 500
 
 
 def shares(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Whole numbers in proportion to the weights, at least 1 each, that add up to the period."""
+    """Whole numbers in proportion to the weights, at least 1 each, that add up to the period.
+
+    For a short period that can be looked at; the schedule goes by exact weights.
+    """
     total = sum(weights)
     exact = [1 + (period - len(weights)) * w / total for w in weights]
     parts = [int(x) for x in exact]
@@ -53,27 +60,78 @@ def period_slots(parts: list[int]) -> list[list[int]]:
     return slots
 
 
-def phases(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[tuple[int, int, int, int, list[int]]]:
-    """Rows (source, first block, blocks, slot before, its slots in a period) of the whole schedule.
+def whole_weights(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    ratios = [w.as_integer_ratio() for w in weights]
+    common = math.lcm(*{d for _, d in ratios})
+    return [n * (common // d) for n, d in ratios]
 
-    A phase lasts until a source has no blocks left; then the others share anew.
-    """
-    left, done, begin, rows = list(blocks), [0] * len(blocks), 0, []
-    while active := [k for k, n in enumerate(left) if n]:
-        slots = period_slots(shares([weights[k] for k in active], max(period, len(active))))
-        length = sum(map(len, slots))
 
-        def slot(s: list[int], j: int, length: int = length) -> int:
-            return j // len(s) * length + s[j % len(s)]
+def turns(blocks: list[int], weights: list[float]) -> array:
+    """The source of each slot, in order, until no source has blocks left.
 
-        end = 1 + min(slot(s, left[k] - 1) for k, s in zip(active, slots))
-        for k, s in zip(active, slots):
-            n = min(left[k], end // length * len(s) + bisect_left(s, end % length))
-            rows.append((k, done[k], n, begin, s))
-            done[k] += n
-            left[k] -= n
-        begin += end
-    return rows
+    A phase lasts until a source has no blocks left; then the others share anew.
+    Within it, block j of a source whose weight is w of a total of W is released at
+    floor(jW/w) and due by ceil((j+1)W/w), as in ``period_slots``, but by the exact
+    weights; so at no time is a source a whole block away from its target.
+
+    Sources that haven't had a turn in a phase wait in line with those of the same
+    weight, and only the first of a line is looked at: a phase costs what its turns
+    cost, however many sources there are.
+    """
+    exact, left, out = whole_weights(weights), list(blocks), array("q")
+    lines: dict[int, list[int]] = {}
+    for k in range(len(left) - 1, -1, -1):
+        if left[k]:
+            lines.setdefault(exact[k], []).append(k)  # the first is at the end
+    order = sorted(lines, reverse=True)
+    total = sum(w * len(line) for w, line in lines.items())
+    while order:
+        ready: list[tuple[int, int, int, int]] = []
+        waiting: list[tuple[int, int, int, int, int]] = []
+        opened, t = 0, 0
+        while True:
+            while waiting and waiting[0][0] <= t:
+                heapq.heappush(ready, heapq.heappop(waiting)[1:])
+            while opened < len(order) and (not ready or -(-total // order[opened]) <= ready[0][0]):
+                w = order[opened]
+                heapq.heappush(ready, (-(-total // w), lines[w][-1], 0, len(lines[w]) - 1))
+                opened += 1
+            due, k, j, at = heapq.heappop(ready)
+            assert due > t
+            w = exact[k]
+            if not j and at:
+                heapq.heappush(ready, (due, lines[w][at - 1], 0, at - 1))
+            out.append(k)
+            left[k] -= 1
+            if not left[k]:
+                break
+            heapq.heappush(waiting, ((j + 1) * total // w, -(-(j + 2) * total // w), k, j + 1, at))
+            t += 1
+        total -= w
+        del lines[w][at]
+        if not lines[w]:
+            order.remove(w)
+    return out
+
+
+def stored_plan(spark: SparkSession, sources: array, n: int) -> DataFrame:
+    """The slot of each block (``_source``, ``block``) as a table in the shared folder."""
+    who = np.frombuffer(sources, np.int64) if len(sources) else np.zeros(0, np.int64)
+    by_source = np.argsort(who, kind="stable")
+    first = np.r_[0, np.cumsum(np.bincount(who, minlength=n))]
+    block = np.empty(len(who), np.int64)
+    block[by_source] = np.arange(len(who)) - first[who[by_source]]
+    pieces = [(a, who[a : a + PIECE].tobytes(), block[a : a + PIECE].tobytes()) for a in range(0, len(who), PIECE)]
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for begin, source, number in zip(batch["begin"], batch["source"], batch["number"]):
+                source = np.frombuffer(source, np.int64)
+                yield pd.DataFrame({"_source": source, "block": np.frombuffer(number, np.int64), "slot": begin + np.arange(len(source))})
+
+    packed = spark.createDataFrame(pieces, "begin bigint, source binary, number binary")
+    return stored(packed.mapInPandas(spread, "_source bigint, block bigint, slot bigint"), "plan")
 
 
 def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
@@ -83,26 +141,25 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
     ``place``; reading by (slot, place) gives the mixture. Rows of a source are
     ordered by a hash of the id; every ``block`` of them is a block, the last
     one may be smaller. Weights default to the square root of a source's rows,
-    and are taken as whole thousandths, at least one. No row is left out: when a
-    source has no blocks left, the others share its slots.
+    and are taken as they are. No row is left out: when a source has no blocks
+    left, the others share its slots. The driver plans the blocks, some 20 bytes
+    each; the plan is stored and joined by source and block.
 
     A null source is a source. Sources without a weight in a given mapping, and
     weights that aren't positive, are errors; so are more than ``MOST_SOURCES``.
     """
     spark = documents.sparkSession
+    bounded_batches(spark)
     base = stored(numbered(documents).select(ROW, "doc_id", F.col("source").cast("string").alias("source")), "base")
     counted = base.groupBy("source").count().orderBy(F.col("source").asc_nulls_first()).limit(MOST_SOURCES + 1).collect()
     if len(counted) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     names = [r["source"] for r in counted]
     targets = [(weights[n] if weights is not None else r["count"] ** 0.5) for n, r in zip(names, counted)]
-    if any(not w > 0 for w in targets):
+    if any(not 0 < w < math.inf for w in targets):
         raise ValueError("weights must be positive")
-    rows = phases([-(-r["count"] // block) for r in counted], targets)
-    plan = spark.createDataFrame(
-        [(names[k] is None, names[k] or "", first, n, begin, s, sum(len(x[4]) for x in rows if x[3] == begin)) for k, first, n, begin, s in rows if n],
-        "_null boolean, _name string, _first bigint, _blocks bigint, _begin bigint, _slots array<int>, _length int",
-    )
+    plan = stored_plan(spark, turns([-(-r["count"] // block) for r in counted], targets), len(counted))
+    sources = spark.createDataFrame([(k, n is None, n or "") for k, n in enumerate(names)], "_source bigint, _null boolean, _name string")
     order = [F.xxhash64("doc_id"), F.col(ROW)]
     ranked = with_positions(base, ["source"], order, f"{shared_folder(spark, 'mix')}/ranked", "source_rank")
     ranked = ranked.withColumns(
@@ -113,14 +170,10 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
             "_name": F.coalesce("source", F.lit("")),
         }
     )
-    # At most MOST_SOURCES phases of max(PERIOD, MOST_SOURCES) slots: some megabytes.
-    at = F.col("block") - F.col("_first")
-    share = F.size("_slots").cast("bigint")
-    slot = F.col("_begin") + F.floor(at / share) * F.col("_length") + F.get("_slots", (at % share).cast("int"))
     return (
-        ranked.join(F.broadcast(plan), ["_null", "_name"])
-        .filter((at >= 0) & (at < F.col("_blocks")))
-        .select(ROW, "doc_id", "source", "source_rank", "block", slot.alias("slot"), "place")
+        ranked.join(F.broadcast(sources), ["_null", "_name"])
+        .join(plan, ["_source", "block"])
+        .select(ROW, "doc_id", "source", "source_rank", "block", "slot", "place")
     )
 
 

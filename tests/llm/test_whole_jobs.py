@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import random
 import sys
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 
@@ -42,3 +45,37 @@ def test_results_hold_if_later_scans_are_split_otherwise(spark, documents, tmp_p
         assert rows(JOBS[job](spark, documents, str(tmp_path))) == expected
     finally:
         spark.conf.unset(FILES)
+
+
+def _plain_turns(blocks, weights):
+    left, out = list(blocks), []
+    while any(left):
+        active = [k for k, n in enumerate(left) if n]
+        exact = {k: Fraction(weights[k]) / sum(Fraction(weights[i]) for i in active) for k in active}
+        done, t = dict.fromkeys(active, 0), 0
+        while all(left[k] for k in active):
+            k = min((-(-(done[k] + 1) // exact[k]), k) for k in active if done[k] // exact[k] <= t)[1]
+            out.append(k)
+            left[k], done[k], t = left[k] - 1, done[k] + 1, t + 1
+    return out
+
+
+def test_turns_equal_a_plain_schedule():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randrange(1, 14)
+        weights = [rng.choice([1.0, 2.0, 0.1, 3**0.5, rng.random() + 0.01]) for _ in range(n)]
+        blocks = [rng.choice([0, 1, 1, 2, rng.randrange(30)]) for _ in range(n)]
+        assert list(mixing.turns(blocks, weights)) == _plain_turns(blocks, weights)
+
+
+@pytest.mark.parametrize("sources, share", [(20, 0.5), (20, 0.01), (500, 0.5), (3000, 0.9)])
+def test_no_source_is_a_block_away_from_its_true_target(sources, share):
+    weights = [share] + [(1 - share) / (sources - 1)] * (sources - 1)
+    total = sum(map(Fraction, weights))
+    got = mixing.turns([12_000] * sources if sources < 30 else [12_000] + [30] * (sources - 1), weights)
+    had, last = Counter(), 12_000  # within the first phase
+    for t, k in enumerate(got[:last], 1):
+        had[k] += 1
+        for i in (0, k):
+            assert abs(had[i] - t * Fraction(weights[i]) / total) < 1
