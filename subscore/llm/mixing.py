@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.functions.positions import with_positions
@@ -19,7 +19,6 @@ from subscore.session import shared_folder
 BLOCK = 16  # documents
 PERIOD = 1000  # slots in which ``shares`` are whole numbers
 PIECE = 1 << 16  # slots of the plan that go to executors as one row
-MOST_SOURCES = 500
 
 
 def shares(weights: list[float], period: int = PERIOD) -> list[int]:
@@ -134,6 +133,25 @@ def stored_plan(spark: SparkSession, sources: array, n: int) -> DataFrame:
     return stored(packed.mapInPandas(spread, "_source bigint, block bigint, slot bigint"), "plan")
 
 
+def _named() -> dict[str, Column]:
+    """What joins sources by equality, a null one too."""
+    return {"_null": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))}
+
+
+def _numbered_sources(counts: DataFrame, weights: Mapping[str | None, float] | None) -> DataFrame:
+    """The sources by name, null first, as ``_source``, with their rows and weights; names stay with Spark."""
+    spark = counts.sparkSession
+    path = f"{shared_folder(spark, 'mix')}/sources"
+    sources = with_positions(counts, [], [F.col("source").asc_nulls_first()], path, "_source").withColumns(_named())
+    if weights is None:
+        return stored(sources.withColumn("weight", F.sqrt("n")), "sources")
+    given = spark.createDataFrame([(n is None, n or "", float(w)) for n, w in weights.items()], "_null boolean, _name string, weight double")
+    sources = stored(sources.join(given, ["_null", "_name"], "left"), "sources")
+    for missing in sources.filter("weight is null").select("source").take(1):
+        raise KeyError(missing["source"])
+    return sources
+
+
 def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
     """Every row's place in the mixture: ``block`` of its source, ``slot``, ``place`` within the slot.
 
@@ -142,39 +160,35 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
     ordered by a hash of the id; every ``block`` of them is a block, the last
     one may be smaller. Weights default to the square root of a source's rows,
     and are taken as they are. No row is left out: when a source has no blocks
-    left, the others share its slots. The driver plans the blocks, some 20 bytes
-    each; the plan is stored and joined by source and block.
+    left, the others share its slots. The driver gets two numbers for each source
+    and plans the blocks, some 20 bytes each; the plan is stored and joined by
+    source and block.
 
     A null source is a source. Sources without a weight in a given mapping, and
-    weights that aren't positive, are errors; so are more than ``MOST_SOURCES``.
+    weights that aren't positive, are errors. There may be any number of sources.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
     base = stored(numbered(documents).select(ROW, "doc_id", F.col("source").cast("string").alias("source")), "base")
-    counted = base.groupBy("source").count().orderBy(F.col("source").asc_nulls_first()).limit(MOST_SOURCES + 1).collect()
-    if len(counted) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    names = [r["source"] for r in counted]
-    targets = [(weights[n] if weights is not None else r["count"] ** 0.5) for n, r in zip(names, counted)]
+    counts = stored(base.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "counts")
+    sources = _numbered_sources(counts, weights)
+    table = sources.select("_source", "n", "weight").toPandas().sort_values("_source")
+    targets = table["weight"].tolist()
     if any(not 0 < w < math.inf for w in targets):
         raise ValueError("weights must be positive")
-    plan = stored_plan(spark, turns([-(-r["count"] // block) for r in counted], targets), len(counted))
-    sources = spark.createDataFrame([(k, n is None, n or "") for k, n in enumerate(names)], "_source bigint, _null boolean, _name string")
+    plan = stored_plan(spark, turns([-(-n // block) for n in table["n"].tolist()], targets), len(targets))
+    plan = plan.join(sources.select("_source", "_null", "_name"), "_source")
     order = [F.xxhash64("doc_id"), F.col(ROW)]
     ranked = with_positions(base, ["source"], order, f"{shared_folder(spark, 'mix')}/ranked", "source_rank")
     ranked = ranked.withColumns(
         {
             "block": F.floor(F.col("source_rank") / block),
             "place": (F.col("source_rank") % block).cast("int"),
-            "_null": F.col("source").isNull(),
-            "_name": F.coalesce("source", F.lit("")),
+            **_named(),
         }
     )
-    return (
-        ranked.join(F.broadcast(sources), ["_null", "_name"])
-        .join(plan, ["_source", "block"])
-        .select(ROW, "doc_id", "source", "source_rank", "block", "slot", "place")
-    )
+    # Some ``block`` rows to a key, however many rows a source has.
+    return ranked.join(plan, ["_null", "_name", "block"]).select(ROW, "doc_id", "source", "source_rank", "block", "slot", "place")
 
 
 def mixed_documents(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:

@@ -79,3 +79,25 @@ def test_no_source_is_a_block_away_from_its_true_target(sources, share):
         had[k] += 1
         for i in (0, k):
             assert abs(had[i] - t * Fraction(weights[i]) / total) < 1
+
+
+def test_any_number_of_sources(spark, tmp_path):
+    # Hundreds of names and null; s0 has every third row.
+    source = "case when id % 3 = 0 then 's0' when id % 100 > 1 then concat('s', id % 1000) end source"
+    spark.range(4000).selectExpr("id doc_id", "'x' text", source).write.parquet(str(tmp_path / "d"))
+    documents = spark.read.parquet(str(tmp_path / "d"))
+    sizes = Counter(r.source for r in documents.collect())
+    assert len(sizes) > 500 and None in sizes
+    names = sorted(sizes, key=lambda n: (n is not None, n))
+    got = mixing.schedule(documents, block=2).collect()
+    assert sorted(r.doc_id for r in got) == list(range(4000))
+    turns = mixing.turns([-(-sizes[n] // 2) for n in names], [sizes[n] ** 0.5 for n in names])
+    assert {(r.slot, r.source) for r in got} == {(t, names[k]) for t, k in enumerate(turns)}
+    with pytest.raises(KeyError):
+        mixing.schedule(documents, dict.fromkeys(names[:-1], 1.0))
+
+
+def test_very_many_sources_are_planned():
+    sizes = [1 + k % 40 for k in range(100_000)] + [10**6]
+    blocks = [-(-n // 16) for n in sizes]
+    assert Counter(mixing.turns(blocks, [n**0.5 for n in sizes])) == Counter(dict(enumerate(blocks)))
