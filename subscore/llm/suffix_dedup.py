@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subscore.llm.common import ROW, bitmap, bounded_batches, in_bitmap, mixed, numbered, stored, utf8
@@ -19,6 +19,9 @@ BLOCK = 1 << 20  # starts handled at once
 SHALLOW = 64  # bytes sorted by multikey quicksort
 BITMAP_BITS = 26  # 8 MB
 BATCH = 20_000  # stretches sorted together
+MANY = 1_000  # stretches of a key that are sorted; of more, the passages are counted
+MANY_BITS = 20
+SALTS = 16
 
 Stretch = tuple[int, int, int, int]  # key, anchor, first and last start
 
@@ -215,9 +218,10 @@ def _scan(documents: DataFrame) -> DataFrame:
     return numbered(documents).select(ROW, "text").mapInPandas(scan, shape)
 
 
-def _texts_of(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Bytes of the stretches whose key's bit is set, once for each content and task at least."""
-    shared = documents.sparkSession.sparkContext.broadcast(wanted)
+def _texts_of(documents: DataFrame, wanted: np.ndarray, many: np.ndarray) -> DataFrame:
+    """Bytes of the stretches whose key's bit is set, once for each content and task at least; whether it is in ``many``."""
+    shared = documents.sparkSession.sparkContext.broadcast((wanted, many))
+    columns = ["key", "d1", "d2", "many", "ahead", "bytes"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,20 +231,21 @@ def _texts_of(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
                 text = utf8(text)
                 found = list(stretches(text))
                 keys = np.array([s[0] for s in found], np.uint64)
-                for k in np.flatnonzero(in_bitmap(shared.value, keys)).tolist():
+                wanted, many = (in_bitmap(x, keys) for x in shared.value)
+                for k in np.flatnonzero(wanted).tolist():
                     d1, d2 = np.frombuffer(_digest(text, found[k]), np.int64).tolist()
                     if (keys[k], d1, d2) in seen:
                         continue
                     seen.add((keys[k], d1, d2))
                     _, a, first, last = found[k]
-                    rows.append((keys[k : k + 1].view(np.int64)[0], d1, d2, a - first, text[first : last + LENGTH]))
+                    rows.append((keys[k : k + 1].view(np.int64)[0], d1, d2, bool(many[k]), a - first, text[first : last + LENGTH]))
                     size += last - first + LENGTH
                     if size > 16 << 20:
-                        yield pd.DataFrame(rows, columns=["key", "d1", "d2", "ahead", "bytes"])
+                        yield pd.DataFrame(rows, columns=columns)
                         rows, size = [], 0
-            yield pd.DataFrame(rows, columns=["key", "d1", "d2", "ahead", "bytes"])
+            yield pd.DataFrame(rows, columns=columns)
 
-    return documents.select("text").mapInPandas(scan, "key bigint, d1 bigint, d2 bigint, ahead int, bytes binary")
+    return documents.select("text").mapInPandas(scan, "key bigint, d1 bigint, d2 bigint, many boolean, ahead int, bytes binary")
 
 
 def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -277,6 +282,40 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield done(pd.concat(held))
 
 
+def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The hash of the passage at each start of each stretch."""
+    for batch in batches:
+        n = batch["bytes"].map(len).to_numpy(np.int64) - LENGTH + 1
+        starts = [k for m in n.tolist() for k in range(m)]
+        texts = (t[k : k + LENGTH] for t, m in zip(batch["bytes"], n.tolist()) for k in range(m))
+        p = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, texts)), np.int64).reshape(-1, 2)
+        content = {c: np.repeat(batch[c].to_numpy(np.int64), n) for c in ("key", "d1", "d2")}
+        yield pd.DataFrame(content | {"at": np.array(starts, np.int32), "p1": p[:, 0], "p2": p[:, 1]})
+
+
+def _compare_many(texts: DataFrame) -> DataFrame:
+    """As ``_compare``, for keys with so many stretches that no task can have them all.
+
+    A passage is in a stretch once at most, as its anchor is the stretch's. So
+    passages (128-bit hash) are counted, with combination on the map side. Which
+    ones are repeated is told to the starts by a join over salts, so that a
+    passage that very many stretches have is spread.
+    """
+    content = ["key", "d1", "d2"]
+    starts = texts.select(*content, "bytes").mapInPandas(_passages, "key bigint, d1 bigint, d2 bigint, at int, p1 bigint, p2 bigint")
+    starts = stored(starts.withColumn("salt", F.pmod("d1", F.lit(SALTS))), "passages")
+    twice = starts.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("p1", "p2")
+    twice = twice.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(SALTS)])))
+    place = F.row_number().over(Window.partitionBy(*content).orderBy("at"))
+    runs = (
+        starts.join(twice, ["p1", "p2", "salt"])
+        .withColumn("run", F.col("at") - place)
+        .groupBy(*content, "run")
+        .agg(F.min("at").alias("a"), (F.max("at") + 1).alias("b"))
+    )
+    return runs.groupBy(*content).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+
+
 def repeated_passages(documents: DataFrame) -> DataFrame:
     """Bytes covered by a ``LENGTH``-byte string that also starts anywhere else.
 
@@ -292,7 +331,8 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
        copies of a text cost little however many there are.
     3. Stretches that are alone, but share their key with others, lie at the ends
        of repeated passages. Only their bytes are moved, sorted (deep-shallow) and
-       compared.
+       compared. If a key has more than ``MANY``, the passages in them are counted
+       instead, wherever they are.
 
     Null counts as empty; texts below ``LENGTH`` bytes hold no string. A repeated
     row is a document like any other, so both copies go.
@@ -307,14 +347,19 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
         classes.groupBy("key")
         .agg(F.count(F.lit(1)).alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
         .filter("kinds > 1 and single > 0")
-        .select("key")
+        .select("key", "kinds")
     )
     open_keys = stored(open_keys, "open")
     known = bitmap(open_keys, "key", BITMAP_BITS)
-    texts = _texts_of(documents, known).dropDuplicates(content).join(open_keys, "key", "left_semi")
-    compared = texts.repartition("key").sortWithinPartitions("key").mapInPandas(
+    # Either way of comparing is right for any key, so that it doesn't matter what else has a hot key's bit.
+    many = bitmap(open_keys.filter(F.col("kinds") > MANY), "key", MANY_BITS)
+    texts = stored(_texts_of(documents, known, many).dropDuplicates(content), "texts")
+    few = texts.filter("not many").join(open_keys, "key", "left_semi").select(*content, "ahead", "bytes")
+    compared = few.repartition("key").sortWithinPartitions("key").mapInPandas(
         _compare, "key bigint, d1 bigint, d2 bigint, spans array<struct<a:int,b:int>>"
     )
+    if many.any():
+        compared = compared.unionByName(_compare_many(texts.filter("many")))
     some = compared.join(classes.filter("n = 1").select(*content), content, "left_semi")
     whole = classes.filter("n > 1").select(*content).withColumn("spans", F.lit(None).cast("array<struct<a:int,b:int>>"))
     verdicts = stored(some.select(*content, "spans").unionByName(whole), "verdicts")

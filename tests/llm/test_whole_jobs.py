@@ -8,6 +8,7 @@ import sys
 from collections import Counter
 from fractions import Fraction
 
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -101,3 +102,27 @@ def test_very_many_sources_are_planned():
     sizes = [1 + k % 40 for k in range(100_000)] + [10**6]
     blocks = [-(-n // 16) for n in sizes]
     assert Counter(mixing.turns(blocks, [n**0.5 for n in sizes])) == Counter(dict(enumerate(blocks)))
+
+
+def test_a_passage_in_very_many_texts_is_in_no_task_as_a_whole(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    passage = rng.randbytes(450).hex()
+    texts = [rng.randbytes(rng.randrange(300)).hex() + passage + rng.randbytes(rng.randrange(300)).hex() for _ in range(60)]
+    texts += [t[100:] for t in texts[:5]] + [texts[7]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(str(tmp_path / "d"))
+    seen = Counter(t[k : k + 400] for t in texts for k in range(len(t) - 399))
+    expected = []
+    for doc, t in enumerate(texts):
+        covered = {x for k in range(len(t) - 399) if seen[t[k : k + 400]] > 1 for x in range(k, k + 400)}
+        expected.append((doc, "".join(c for k, c in enumerate(t) if k not in covered)))
+    compare = suffix_dedup._compare
+
+    def checked(batches):
+        some = pd.concat(list(batches) or [pd.DataFrame({"key": []})])
+        assert some.empty or some.groupby("key").size().max() <= 10
+        yield from compare(iter([some]))
+
+    monkeypatch.setattr(suffix_dedup, "MANY", 10, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_compare", checked)
+    got = suffix_dedup.repeated_passages(spark.read.parquet(str(tmp_path / "d"))).collect()
+    assert sorted((r.doc_id, bytes(r.kept).decode()) for r in got) == expected
