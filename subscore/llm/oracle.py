@@ -58,6 +58,48 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)
 """
 
+OP11 = r"""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY x) AS first_id FROM t),
+marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 2 * length(x) AS c,
+    regexp_matches(x, '[#$%&*|]') AS d, coalesce(first_id < w.doc_id, false) AS e
+  FROM w LEFT JOIN marks ON w.doc_id = marks.doc_id
+), fails AS (
+  SELECT part, good, toxic,
+    CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+      || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS failed, count(*) AS n
+  FROM f GROUP BY ALL
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.x NOT IN (q.x, r.x, s.x, t.x) AND q.x NOT IN (r.x, s.x, t.x) AND r.x NOT IN (s.x, t.x) AND s.x <> t.x
+), steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+  FROM orders, range(1, 6) AS r(step)
+), told AS (
+  SELECT part, filter_order, step, own, n, good, toxic, contains(failed, own) AS fails, failed = own AS only_own,
+    translate(failed, before, '') <> failed AS gone
+  FROM fails, steps
+), counted AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept, coalesce(sum(n) FILTER (fails AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (fails AND gone), 0) AS redundant, coalesce(sum(n) FILTER (only_own), 0) AS unique_fails,
+    coalesce(sum(n) FILTER (fails AND NOT gone AND good), 0) AS good_lost,
+    coalesce(sum(n) FILTER (fails AND NOT gone AND toxic), 0) AS toxic_lost
+  FROM told GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 def all_statements() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_exact_dedup": OP3, "op9_near_dedup": OP9}
+    return {"op1_decontamination": OP1, "op3_exact_dedup": OP3, "op9_near_dedup": OP9, "op11_filter_audit": OP11}

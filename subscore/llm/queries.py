@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from subscore.llm.chunk_dedup import exact_duplicates
 from subscore.llm.common import crc_of_id, table
 from subscore.llm.decontamination import find_contamination
+from subscore.llm.filter_audit import audit_filters
 from subscore.llm.mixing import schedule
 from subscore.llm.near_dedup import near_duplicates
 from subscore.llm.ngram_model import fit_ngrams, held_out, score_ngrams, training_rows
+from subscore.llm.packing import pack_documents
 from subscore.llm.secrets import find_secrets, fit_secrets
 from subscore.llm.sharding import assign_shards
 from subscore.llm.suffix_dedup import repeated_passages
@@ -22,6 +24,7 @@ from subscore.llm.toxicity import FOLDS, fit_toxicity, score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 CONTEXT = 1024  # tokens
+PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,6 +98,23 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = pack_documents(table(spark, folder, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+    return packed.select(
+        "doc_id",
+        "start",
+        F.shiftright(F.length("ids"), 2).cast("bigint").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f

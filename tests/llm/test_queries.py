@@ -31,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in queries.all_queries()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.all_queries()} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_near_dedup_query_keeps_one_class_per_component(spark, data_folder):
