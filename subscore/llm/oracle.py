@@ -100,6 +100,44 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
 FROM counted
 """
 
+# CRC-32 by its table: bits from low to high, polynomial 0xEDB88320.
+OP13 = r"""
+WITH RECURSIVE bits(b, k, c) AS (
+  SELECT b, 0, b FROM range(256) AS r(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+o AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, list({'r': r, 't': t} ORDER BY i) AS turns FROM o GROUP BY conv_id
+), h AS (
+  SELECT conv_id, turns, conv_id - conv_id % 5 AS base, CAST(xor(list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+    lambda s, x: xor(crc.t[(xor(s, x) & 255) + 1], s >> 8)), 4294967295) % 9 AS INTEGER) AS h
+  FROM c, crc
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[1:a.h], a.turns[a.h + 1:]) AS turns FROM h a LEFT JOIN c b ON b.conv_id = a.base
+), p AS (
+  SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)
+), n AS MATERIALIZED (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(strlen(path[d].t), 0) AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY path, d
+), kids AS (SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+told AS (
+  SELECT n.*, coalesce(kids.n, 0) AS n_children, parent.conv_id AS parent_conv_id
+  FROM n LEFT JOIN kids ON kids.path = n.path AND kids.d = n.d
+    LEFT JOIN n parent ON parent.d = n.d - 1 AND parent.path = n.path[1:n.d - 1]
+), up AS (SELECT path[1:u] AS path, u AS d, saved, n_children FROM (SELECT *, unnest(range(d + 1)) AS u FROM told)),
+sums AS (SELECT path, d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY path, d)
+SELECT conv_id, CAST(told.d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM told JOIN sums ON sums.path = told.path AND sums.d = told.d
+"""
+
 
 def all_statements() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op3_exact_dedup": OP3, "op9_near_dedup": OP9, "op11_filter_audit": OP11}
+    return {"op1_decontamination": OP1, "op3_exact_dedup": OP3, "op9_near_dedup": OP9, "op11_filter_audit": OP11, "op13_prefix_trie": OP13}

@@ -16,6 +16,7 @@ from subscore.llm.mixing import schedule
 from subscore.llm.near_dedup import near_duplicates
 from subscore.llm.ngram_model import fit_ngrams, held_out, score_ngrams, training_rows
 from subscore.llm.packing import pack_documents
+from subscore.llm.prefix_trie import prefix_trie
 from subscore.llm.secrets import find_secrets, fit_secrets
 from subscore.llm.sharding import assign_shards
 from subscore.llm.suffix_dedup import repeated_passages
@@ -115,6 +116,10 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: f
