@@ -640,6 +640,12 @@ _LABELLED_COLS = ["crm_sub_id", "analytic_id", "register_date", _r("score"), _r(
 
 
 def all_statements() -> dict[str, str]:
+    from registry import boosted
+
+    return _own_statements() | boosted.all_statements()
+
+
+def _own_statements() -> dict[str, str]:
     june = [LABEL_MONTH]
     usage_june = _usage_tables(june)
     profile = _profile_tables(SCORING)

@@ -568,4 +568,6 @@ def _rounding(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    return {q.__name__: _rounding(q) for q in _QUERIES}
+    from registry import boosted
+
+    return {q.__name__: _rounding(q) for q in [*_QUERIES, *boosted.all_queries().values()]}

@@ -12,10 +12,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from subscore.operators.boosting import LABEL, BoostedTrees, load_boosted, predict_boosted
 from subscore.schemas import CATEGORICAL, feature_columns
 from subscore.session import shared_folder
 
-LABEL = "bad_flag"
 SCORE_DIGITS = 4
 
 
@@ -83,8 +83,13 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> PipelineModel | BoostedTrees:
+    """The model that either training job has saved; a pipeline has a folder of metadata."""
+    spark = SparkSession.active()
+    metadata = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
+    if metadata.getFileSystem(spark._jsc.hadoopConfiguration()).exists(metadata):
+        return PipelineModel.load(path)
+    return load_boosted(spark, path)
 
 
 def variable_importance(model: PipelineModel) -> DataFrame:
@@ -103,13 +108,15 @@ def variable_importance(model: PipelineModel) -> DataFrame:
     )
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | BoostedTrees, df: DataFrame) -> DataFrame:
     """Add ``p0``, the chance of paying back, and ``p1`` = 1 - ``p0``, both as the model gives them."""
+    if isinstance(model, BoostedTrees):
+        return predict_boosted(model, df)
     scored = model.transform(df).withColumn("p0", vector_to_array("probability")[0])
     return scored.withColumn("p1", 1 - F.col("p0")).select(*df.columns, "p0", "p1")
 
 
-def score_subscribers(df: DataFrame, model: PipelineModel) -> DataFrame:
+def score_subscribers(df: DataFrame, model: PipelineModel | BoostedTrees) -> DataFrame:
     """Scores as they are delivered: ``p0`` in four digits."""
     scored = predict(model, df).withColumn("p0", F.round("p0", SCORE_DIGITS))
     return scored.select("crm_sub_id", "analytic_id", "register_date", "p0")
