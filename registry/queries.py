@@ -568,6 +568,7 @@ def _rounding(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from registry import boosted
+    from registry import boosted, incremental
 
-    return {q.__name__: _rounding(q) for q in [*_QUERIES, *boosted.all_queries().values()]}
+    more = boosted.all_queries() | incremental.all_queries()
+    return {q.__name__: _rounding(q) for q in [*_QUERIES, *more.values()]}

@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subscore.functions.months import month_end, month_slice
@@ -37,6 +37,50 @@ def usage_snapshot(usage_monthly: DataFrame, month: date) -> DataFrame:
     return month_slice(usage_monthly, month, 0, snapshot=True)
 
 
+def with_registrations(usage_monthly: DataFrame, profile: DataFrame) -> DataFrame:
+    """Give usage without a top-up the registration that holds at its month end.
+
+    Usage is known per subscriber only; without a top-up in its month it has no
+    ``register_date`` and reaches no subscription. Here it gets, as of the month end, the
+    subscriber's newest registration in that month's profile, active or not. Usage rows
+    with a registration stay as they are, and rows are never multiplied: the profile
+    is reduced to one date for each subscriber and month first, on the map side.
+    Subscribers without a profile, or without an id, keep their null.
+    """
+    columns = usage_monthly.columns
+    starts = F.to_date("activation_date")
+    newest = (
+        profile.filter(F.col("analytic_id").isNotNull() & (starts <= F.col("ddate")))
+        .groupBy("analytic_id", "ddate")
+        .agg(F.max(starts).alias("_registered"))
+    )
+    open_rows = usage_monthly.filter(F.col("register_date").isNull() & F.col("analytic_id").isNotNull())
+    found = open_rows.join(newest, ["analytic_id", "ddate"], "left").withColumn("register_date", F.col("_registered"))
+    others = usage_monthly.filter(F.col("register_date").isNotNull() | F.col("analytic_id").isNull())
+    return others.select(*columns).unionByName(found.select(*columns))
+
+
+def usage_by(key: str, usage_monthly: DataFrame, profile: DataFrame) -> DataFrame:
+    """The datamart as features see it: by ``subscription``, or with ``with_registrations`` by ``subscriber``."""
+    if key not in ("subscription", "subscriber"):
+        raise ValueError(f"usage is keyed by subscription or subscriber, not by {key}")
+    return usage_monthly if key == "subscription" else with_registrations(usage_monthly, profile)
+
+
+def unique_keys(df: DataFrame) -> DataFrame:
+    """``df``, which fails when it is run if a known subscription occurs in two rows.
+
+    The count is over the key by which the joins before have dealt out and sorted the
+    rows, so nothing is shuffled for it. A key that repeats in the spine or in any
+    joined month repeats here.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(*SUBSCRIPTION_KEY))
+    known = F.col("analytic_id").isNotNull() & F.col("register_date").isNotNull()
+    message = F.concat(F.lit("a subscription repeats: "), F.concat_ws(", ", *SUBSCRIPTION_KEY))
+    checked = F.when((F.col("_same_key") > 1) & known, F.raise_error(message).cast("string")).otherwise(F.col("analytic_id"))
+    return df.withColumn("_same_key", rows).withColumn("analytic_id", checked).drop("_same_key")
+
+
 def survey_snapshot(topup_survey: DataFrame, month: date) -> DataFrame:
     return (
         month_slice(topup_survey, month, 0, column="month_id", snapshot=True)
@@ -98,15 +142,23 @@ def assemble_training_features(
     topup_survey: DataFrame,
     validity: DataFrame,
     month: date,
+    usage_key: str = "subscription",
 ) -> DataFrame:
     spine = label_spine_with_profile(labels, profile, month)
-    return attach_snapshots(spine, usage_monthly, topup_survey, validity, month)
+    usage = usage_by(usage_key, usage_monthly, profile)
+    return attach_snapshots(spine, usage, topup_survey, validity, month)
 
 
 def assemble_scoring_features(
-    profile: DataFrame, usage_monthly: DataFrame, topup_survey: DataFrame, validity: DataFrame, month: date
+    profile: DataFrame,
+    usage_monthly: DataFrame,
+    topup_survey: DataFrame,
+    validity: DataFrame,
+    month: date,
+    usage_key: str = "subscription",
 ) -> DataFrame:
-    return attach_snapshots(profile_spine(profile, month), usage_monthly, topup_survey, validity, month)
+    usage = usage_by(usage_key, usage_monthly, profile)
+    return attach_snapshots(profile_spine(profile, month), usage, topup_survey, validity, month)
 
 
 def _history(table: DataFrame, month: date) -> DataFrame:

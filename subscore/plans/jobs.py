@@ -33,6 +33,8 @@ from subscore.operators.features import (
     profile_snapshot,
     profile_spine,
     survey_snapshot,
+    unique_keys,
+    usage_by,
     usage_history,
     usage_snapshot,
     validity_snapshot,
@@ -107,16 +109,19 @@ def _features(
     training: bool,
     validity_features: list[str] | None,
     means: Mapping[str, float] | None,
+    usage_key: str,
 ) -> DataFrame:
     """Everything from the spine to the finished features as one lazy plan.
 
     The imputed means depend on profile columns only, so they are fitted on
     the spine before the other joins. History is pivoted per source, which
-    needs no outer join of the two.
+    needs no outer join of the two. A subscription that repeats makes the plan fail
+    when it is run.
     """
-    wide = attach_snapshots(spine, tables.usage_monthly, tables.topup_survey, tables.validity, month)
+    usage = usage_by(usage_key, tables.usage_monthly, tables.profile)
+    wide = attach_snapshots(spine, usage, tables.topup_survey, tables.validity, month)
     wide = attach_lags(wide, profile_history(tables.profile, month), month, REVENUE)
-    wide = attach_lags(wide, usage_history(tables.usage_monthly, month), month, USAGE_HISTORY)
+    wide = unique_keys(attach_lags(wide, usage_history(usage, month), month, USAGE_HISTORY))
     return derive_features(assemble_clean_base(wide, training, validity_features, means, fit_on=spine))
 
 
@@ -126,13 +131,14 @@ def build_training_set(
     as_of: date,
     lag: int = 0,
     validity_features: list[str] | None = None,
+    usage_key: str = "subscription",
 ) -> DataFrame:
     """Labelled feature table of the label month one month before ``as_of``."""
     label_lag = lag + 1
     labels = drop_duplicated_subscribers(label_bad_debtors(loans, as_of, label_lag), keep_unknown=False)
     month = month_end(as_of, label_lag + LABEL_TO_PROFILE_MONTHS)
     spine = label_spine_with_profile(labels, tables.profile, month)
-    return _features(spine, tables, month, True, validity_features, None)
+    return _features(spine, tables, month, True, validity_features, None, usage_key)
 
 
 def build_scoring_set(
@@ -141,6 +147,7 @@ def build_scoring_set(
     lag: int = 0,
     validity_features: list[str] | None = None,
     means: Mapping[str, float] | None = None,
+    usage_key: str = "subscription",
 ) -> DataFrame:
     """Feature table of the last full month before ``as_of``.
 
@@ -148,7 +155,7 @@ def build_scoring_set(
     the training set.
     """
     month = month_end(as_of, lag + 1)
-    return _features(profile_spine(tables.profile, month), tables, month, False, validity_features, means)
+    return _features(profile_spine(tables.profile, month), tables, month, False, validity_features, means, usage_key)
 
 
 @dataclass(frozen=True)
