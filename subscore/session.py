@@ -54,10 +54,32 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
     The shared folder is whatever ``spark.checkpoint.dir`` names, or else the
     session's warehouse, which executors share as well. Folders are not removed
-    here: what was returned may be read until the session ends.
+    here: what was returned may be read until the session ends. ``folders_made`` lists
+    them, for a caller that knows when they have been read.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/subscore-{name}-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/subscore-{name}-{uuid.uuid4().hex}"
+    folders_made(spark).append(folder)
+    return folder
+
+
+def folders_made(spark: SparkSession) -> list[str]:
+    """The folders that ``shared_folder`` has named in this session, in order."""
+    context = spark.sparkContext
+    if not hasattr(context, "_subscore_folders"):
+        context._subscore_folders = []
+    return context._subscore_folders
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders of this session's own; those without files are passed over."""
+    made = folders_made(spark)
+    for folder in folders:
+        if folder not in made:
+            raise ValueError(f"{folder} was not made here")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        made.remove(folder)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -66,8 +88,12 @@ def ship_package(spark: SparkSession) -> None:
     A folder that isn't mounted can't take it; then it must be installed on all machines.
     """
     context = spark.sparkContext
-    url = urlparse(shared_folder(spark, "package"))
-    if getattr(context, "_subscore_shipped", False) or url.scheme not in ("", "file"):
+    if getattr(context, "_subscore_shipped", False):
+        return
+    target = shared_folder(spark, "package")
+    folders_made(spark).remove(target)  # it stays as long as the session
+    url = urlparse(target)
+    if url.scheme not in ("", "file"):
         return
     context._subscore_shipped = True
     package = Path(__file__).resolve().parent
