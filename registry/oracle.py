@@ -833,6 +833,7 @@ def _own_statements() -> dict[str, str]:
         "write_scores": _statement(scored, _select(scores_cols, "scored")),
         "decile_lift_table": _statement(lift, _select(_LIFT_COLS, "lift")),
         "profit_loss": _statement(profit, _select(_PROFIT_COLS, "profit")),
+        "profit_of_stored_lift": _statement(profit, _select(_PROFIT_COLS, "profit")),
         "best_decile": _statement(profit, _select(_PROFIT_COLS, "best")),
         "profit_headline": _statement(profit, _HEADLINE),
         "profit_report_table": _statement(profit, _REPORT),

@@ -72,15 +72,15 @@ def add_shifted_month(spark, folder):
 
 
 def topup_monthly(spark, folder):
-    return datamart.topup_monthly(v.topup_daily(spark, folder, v.LABEL_MONTH), v.LABEL_MONTH)
+    return datamart.topup_monthly(v.topup_daily(spark, folder), v.LABEL_MONTH)
 
 
 def usage_monthly_sums(spark, folder):
-    return datamart.usage_monthly_sums(v.usage_daily(spark, folder, v.LABEL_MONTH), v.LABEL_MONTH)
+    return datamart.usage_monthly_sums(v.usage_daily(spark, folder), v.LABEL_MONTH)
 
 
 def usage_datamart(spark, folder):
-    return v.usage_monthly(spark, folder, v.LABEL_MONTH, months=1)
+    return datamart.usage_datamart(v.topup_daily(spark, folder), v.usage_daily(spark, folder), v.LABEL_MONTH)
 
 
 def append_if_newer(spark, folder):
@@ -127,7 +127,7 @@ def assemble_training_features(spark, folder):
     return features.assemble_training_features(
         drop_duplicated_subscribers(spark, folder),
         v.profile(spark, folder, month),
-        v.usage_monthly(spark, folder, month, months=1),
+        v.usage_monthly(spark, folder, month),
         v.topup_survey(spark, folder, month),
         v.validity(spark, folder, month),
         month,
@@ -138,7 +138,7 @@ def assemble_scoring_features(spark, folder):
     month = v.SCORING_MONTH
     return features.assemble_scoring_features(
         v.profile(spark, folder, month),
-        v.usage_monthly(spark, folder, month, months=1),
+        v.usage_monthly(spark, folder, month),
         v.topup_survey(spark, folder, month),
         v.validity(spark, folder, month),
         month,
@@ -379,6 +379,13 @@ def profit_loss(spark, folder):
     return profit.profit_loss(profit.with_scenarios(decile_lift_table(spark, folder)))
 
 
+def profit_of_stored_lift(spark, folder):
+    """Profit as the dashboard starts: from a lift table that was written as text."""
+    path = f"{shared_folder(spark, 'lift')}/total_lift_tbl"
+    tables.write_report(decile_lift_table(spark, folder), path)
+    return profit.profit_loss(profit.with_scenarios(tables.read_lift_table(spark, path)))
+
+
 def best_decile(spark, folder):
     return profit.best_decile(profit_loss(spark, folder))
 
@@ -543,6 +550,7 @@ _QUERIES: list[Query] = [
     write_scores,
     decile_lift_table,
     profit_loss,
+    profit_of_stored_lift,
     best_decile,
     profit_headline,
     profit_report_table,
