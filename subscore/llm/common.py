@@ -6,18 +6,14 @@ name but those that start with an underscore. A null text counts as empty.
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-from urllib.parse import unquote, urlparse
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscore.session import shared_folder
+from subscore.session import shared_folder, ship_package
 
-ROW = "_row"
+ROW = "_subscore_row"  # a name that no table has by chance
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -26,25 +22,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Give Python workers this package, once a session, through the shared folder.
-
-    A folder that isn't mounted can't take it; then it must be installed on all machines.
-    """
-    context = spark.sparkContext
-    url = urlparse(shared_folder(spark, "package"))
-    if getattr(context, "_subscore_shipped", False) or url.scheme not in ("", "file"):
-        return
-    context._subscore_shipped = True
-    package = Path(__file__).resolve().parent.parent
-    folder = Path(unquote(url.path))
-    folder.mkdir(parents=True, exist_ok=True)
-    with zipfile.ZipFile(folder / "subscore.zip", "w", zipfile.ZIP_DEFLATED) as out:
-        for source in sorted(package.rglob("*.py")):
-            out.write(source, source.relative_to(package.parent))
-    context.addPyFile(str(folder / "subscore.zip"))
-
-
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Few rows in each batch that goes to Python, since a text can be very long."""
     ship_package(spark)

@@ -64,7 +64,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 def find_contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Words of documents inside any occurrence of a benchmark window.
 
-    Returns a row per document row: ``_row``, ``doc_id``, ``n_words``, ``n_hit``,
+    Returns a row per document row: ``_subscore_row``, ``doc_id``, ``n_words``, ``n_hit``,
     ``items`` (sorted as strings). A span of ``WINDOW`` shared words always has a
     fingerprint in common, so none is missed; equal fingerprints are extended to
     their windows, which are compared word by word.

@@ -168,7 +168,7 @@ def _verified(pairs: DataFrame, contents: DataFrame, similarity: float) -> DataF
 def near_duplicates(documents: DataFrame, shingle: int = 5, similarity: float = SHARED) -> DataFrame:
     """Connected groups of documents whose shingle sets have Jaccard similarity ``similarity`` or more.
 
-    Returns a row per document row: ``_row``, ``doc_id``, ``n_shingles``,
+    Returns a row per document row: ``_subscore_row``, ``doc_id``, ``n_shingles``,
     ``component``, a number of the group (null without shingles), and
     ``component_id``, the least id reachable.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.llm.chunk_dedup import exact_duplicates
-from subscore.llm.common import crc_of_id, table
+from subscore.llm.common import ROW, crc_of_id, table
 from subscore.llm.decontamination import find_contamination
 from subscore.llm.filter_audit import audit_filters
 from subscore.llm.mixing import schedule
@@ -83,7 +83,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return schedule(table(spark, folder, "documents")).drop("_row")
+    return schedule(table(spark, folder, "documents")).drop(ROW)
 
 
 def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

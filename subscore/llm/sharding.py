@@ -16,7 +16,7 @@ ROUNDS = 4
 
 
 def linked_documents(base: DataFrame, shards: int) -> DataFrame:
-    """Rows of ``base`` (``_row``, ``group``) that share their group, with a first shard by hash."""
+    """Rows of ``base`` (``_subscore_row``, ``group``) that share their group, with a first shard by hash."""
     groups = base.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     first = F.pmod(F.xxhash64(ROW), F.lit(shards)).cast("int")
     return base.select(ROW, "group").join(groups, "group").withColumn("label", first)
