@@ -155,7 +155,7 @@ def _numbered_sources(counts: DataFrame, weights: Mapping[str | None, float] | N
 def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
     """Every row's place in the mixture: ``block`` of its source, ``slot``, ``place`` within the slot.
 
-    Returns ``_row``, ``doc_id``, ``source``, ``source_rank``, ``block``, ``slot``,
+    Returns ``_subscore_row``, ``doc_id``, ``source``, ``source_rank``, ``block``, ``slot``,
     ``place``; reading by (slot, place) gives the mixture. Rows of a source are
     ordered by a hash of the id; every ``block`` of them is a block, the last
     one may be smaller. Weights default to the square root of a source's rows,
@@ -192,8 +192,15 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
 
 
 def mixed_documents(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
-    """All documents in the order of the mixture: file by file, row by row."""
+    """All documents in the order of the mixture: file by file, row by row.
+
+    Slots are numbered without gaps, so that equal ranges of them are the files: no
+    sample of the texts is taken to find the ranges.
+    """
     rows = stored(numbered(documents), "rows")
-    places = schedule(rows, weights, block).select(F.col(ROW), "slot", "place")
-    joined = rows.join(places.withColumnsRenamed({"slot": "_slot", "place": "_place"}), ROW)
-    return joined.repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place").select(*documents.columns)
+    places = schedule(rows, weights, block).select(F.col(ROW), F.col("slot").alias("_slot"), F.col("place").alias("_place"))
+    places = stored(places, "places")
+    slots = (places.agg(F.max("_slot")).first()[0] or 0) + 1
+    files = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(places, ROW).repartitionById(files, F.floor(F.col("_slot") * files / slots).cast("int"))
+    return dealt.sortWithinPartitions("_slot", "_place").select(*documents.columns)
