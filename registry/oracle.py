@@ -640,9 +640,9 @@ _LABELLED_COLS = ["crm_sub_id", "analytic_id", "register_date", _r("score"), _r(
 
 
 def all_statements() -> dict[str, str]:
-    from registry import boosted, incremental
+    from registry import boosted, incremental, reports
 
-    return _own_statements() | boosted.all_statements() | incremental.all_statements()
+    return _own_statements() | boosted.all_statements() | incremental.all_statements() | reports.all_statements()
 
 
 def _own_statements() -> dict[str, str]:

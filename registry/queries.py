@@ -576,7 +576,7 @@ def _rounding(query: Query) -> Query:
 
 
 def all_queries() -> dict[str, Query]:
-    from registry import boosted, incremental
+    from registry import boosted, incremental, reports
 
-    more = boosted.all_queries() | incremental.all_queries()
+    more = boosted.all_queries() | incremental.all_queries() | reports.all_queries()
     return {q.__name__: _rounding(q) for q in [*_QUERIES, *more.values()]}
