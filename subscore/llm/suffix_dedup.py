@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,6 +17,7 @@ LENGTH = 400  # bytes of a passage
 GRAM = 32  # bytes that make an anchor
 HALF = LENGTH // 2
 BLOCK = 1 << 20  # starts handled at once
+STEP = 1 << 15  # of them, those whose grams are hashed at once, in a processor's cache
 SHALLOW = 64  # bytes sorted by multikey quicksort
 BITMAP_BITS = 26  # 8 MB
 BATCH = 20_000  # stretches sorted together
@@ -23,8 +25,6 @@ MANY = 1_000  # stretches of a key that are sorted; of more, the passages are co
 MANY_BITS = 20
 SALTS = 16
 
-Stretch = tuple[int, int, int, int]  # key, anchor, first and last start
-
 
 # --- anchors ---------------------------------------------------------------
 
@@ -49,29 +49,76 @@ def _anchors(text: np.ndarray) -> np.ndarray:
     return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def stretches(text: bytes) -> Iterator[Stretch]:
+@dataclass
+class Stretches:
     """Runs of starts that have one anchor, cut where the anchor is ``HALF`` ahead.
 
     Equal passages have their anchor at the same distance, and share ``HALF``
     bytes on the one or the other side of it. The hash of those is the key: equal
     passages are in stretches of one key.
-    """
-    n = len(text) - LENGTH + 1
-    data = np.frombuffer(text, np.uint8)
-    for begin in range(0, n, BLOCK):
-        anchors = begin + _anchors(data[begin : begin + BLOCK + LENGTH - 1])
-        firsts = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
-        lasts = np.r_[firsts[1:], len(anchors)] - 1
-        for first, last, a in zip((begin + firsts).tolist(), (begin + lasts).tolist(), anchors[firsts].tolist()):
-            if first <= a - HALF:
-                yield xxhash.xxh3_64_intdigest(text[a - HALF : a + GRAM], 1), a, first, min(last, a - HALF)
-            if last > a - HALF:
-                yield xxhash.xxh3_64_intdigest(text[a : a + HALF], 2), a, max(first, a - HALF + 1), last
 
+    ``whole``: bytes of many texts. ``anchors``, ``firsts``, ``lasts``: places in it; ``of``: which
+    text a stretch is in; ``behind``: what to add for places in that text.
+    """
 
-def _digest(text: bytes, stretch: Stretch) -> bytes:
-    _, a, first, last = stretch
-    return xxhash.xxh3_128_digest(text[first : last + LENGTH], a - first)
+    whole: bytes
+    keys: np.ndarray
+    anchors: np.ndarray
+    firsts: np.ndarray
+    lasts: np.ndarray
+    of: np.ndarray
+    behind: np.ndarray
+
+    def digests(self, some: np.ndarray) -> np.ndarray:
+        """128-bit hashes of stretches' bytes with their anchors' places, as pairs of 64 bits."""
+        w, firsts = self.whole, self.firsts[some]
+        parts = zip(firsts.tolist(), (self.lasts[some] + LENGTH).tolist(), (self.anchors[some] - firsts).tolist())
+        return np.frombuffer(b"".join([xxhash.xxh3_128_digest(w[f:e], d) for f, e, d in parts]), np.int64).reshape(-1, 2)
+
+
+def _of_pieces(pieces: list[tuple[int, int, bytes]]) -> Stretches:
+    whole = b"".join([p for _, _, p in pieces])
+    sizes = np.array([len(p) for _, _, p in pieces])
+    ends = np.cumsum(sizes)
+    n = len(whole) - LENGTH + 1
+    piece = np.repeat(np.arange(len(pieces)), sizes)[:n]
+    starts = np.flatnonzero(np.arange(n) + LENGTH <= ends[piece])  # a passage is within one text
+    anchors = np.concatenate(
+        [
+            begin + _anchors(np.frombuffer(whole, np.uint8)[begin : begin + STEP + LENGTH - 1])
+            for begin in range(0, n, STEP)
+        ]
+    )[starts]
+    change = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
+    firsts, lasts, a = starts[change], starts[np.r_[change[1:], len(starts)] - 1], anchors[change]
+    left, right = np.flatnonzero(firsts <= a - HALF), np.flatnonzero(lasts > a - HALF)
+    of_left = [xxhash.xxh3_64_intdigest(whole[k - HALF : k + GRAM], 1) for k in a[left].tolist()]
+    of_right = [xxhash.xxh3_64_intdigest(whole[k : k + HALF], 2) for k in a[right].tolist()]
+    firsts, lasts, a = (
+        np.r_[firsts[left], np.maximum(firsts[right], a[right] - HALF + 1)],
+        np.r_[np.minimum(lasts[left], a[left] - HALF), lasts[right]],
+        np.r_[a[left], a[right]],
+    )
+    piece = piece[firsts]
+    behind = np.array([b for _, b, _ in pieces]) - (ends - sizes)
+    of = np.array([k for k, _, _ in pieces])
+    return Stretches(whole, np.array(of_left + of_right, np.uint64), a, firsts, lasts, of[piece], behind[piece])
+
+
+def stretches(texts: list[bytes]) -> Iterator[Stretches]:
+    """The stretches of all texts, those of many short ones at once, of a long one by ``BLOCK`` starts."""
+    pieces: list[tuple[int, int, bytes]] = []
+    held = 0
+    for k, text in enumerate(texts):
+        for begin in range(0, len(text) - LENGTH + 1, BLOCK):
+            part = text[begin : begin + BLOCK + LENGTH - 1]
+            if pieces and held + len(part) > BLOCK:
+                yield _of_pieces(pieces)
+                pieces, held = [], 0
+            pieces.append((k, begin, part))
+            held += len(part)
+    if pieces:
+        yield _of_pieces(pieces)
 
 
 # --- deep-shallow sorting --------------------------------------------------
@@ -203,16 +250,12 @@ def repeated_starts(groups: np.ndarray, texts: list[bytes], ahead: np.ndarray) -
 def _scan(documents: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row, text in zip(batch[ROW].tolist(), batch["text"]):
-                text = utf8(text)
-                found = list(stretches(text))
-                for at in range(0, len(found), BATCH):
-                    some = found[at : at + BATCH]
-                    keys = np.array([s[0] for s in some], np.uint64).view(np.int64)
-                    digests = np.frombuffer(b"".join(_digest(text, s) for s in some), np.int64).reshape(-1, 2)
-                    first, last = np.array([s[2] for s in some]), np.array([s[3] for s in some])
-                    columns = {"key": keys, "d1": digests[:, 0], "d2": digests[:, 1], "first": first, "last": last}
-                    yield pd.DataFrame({ROW: row} | columns)
+            rows = batch[ROW].to_numpy()
+            for found in stretches([utf8(t) for t in batch["text"]]):
+                d = found.digests(np.arange(len(found.keys)))
+                first, last = found.firsts + found.behind, found.lasts + found.behind
+                columns = {"key": found.keys.view(np.int64), "d1": d[:, 0], "d2": d[:, 1], "first": first, "last": last}
+                yield pd.DataFrame({ROW: rows[found.of]} | columns)
 
     shape = f"{ROW} bigint, key bigint, d1 bigint, d2 bigint, first bigint, last bigint"
     return numbered(documents).select(ROW, "text").mapInPandas(scan, shape)
@@ -227,19 +270,17 @@ def _texts_of(documents: DataFrame, wanted: np.ndarray, many: np.ndarray) -> Dat
         for batch in batches:
             seen: set[tuple] = set()
             rows, size = [], 0
-            for text in batch["text"]:
-                text = utf8(text)
-                found = list(stretches(text))
-                keys = np.array([s[0] for s in found], np.uint64)
-                wanted, many = (in_bitmap(x, keys) for x in shared.value)
-                for k in np.flatnonzero(wanted).tolist():
-                    d1, d2 = np.frombuffer(_digest(text, found[k]), np.int64).tolist()
-                    if (keys[k], d1, d2) in seen:
+            for found in stretches([utf8(t) for t in batch["text"]]):
+                wanted, many = (in_bitmap(x, found.keys) for x in shared.value)
+                some = np.flatnonzero(wanted)
+                contents = zip(some.tolist(), found.keys[some].view(np.int64).tolist(), *found.digests(some).T.tolist())
+                for k, *content in contents:
+                    if tuple(content) in seen:
                         continue
-                    seen.add((keys[k], d1, d2))
-                    _, a, first, last = found[k]
-                    rows.append((keys[k : k + 1].view(np.int64)[0], d1, d2, bool(many[k]), a - first, text[first : last + LENGTH]))
-                    size += last - first + LENGTH
+                    seen.add(tuple(content))
+                    first, end = int(found.firsts[k]), int(found.lasts[k]) + LENGTH
+                    rows.append((*content, bool(many[k]), int(found.anchors[k]) - first, found.whole[first:end]))
+                    size += end - first
                     if size > 16 << 20:
                         yield pd.DataFrame(rows, columns=columns)
                         rows, size = [], 0

@@ -303,6 +303,32 @@ def test_repeated_passages_equal_brute_force(documents, empty, case_rows, monkey
     assert suffix_dedup.repeated_passages(empty).count() == 0
 
 
+def test_planted_passages_on_either_side_of_the_length(spark):
+    """Passages of over 50 words: each byte of those of 400 bytes or more goes, of shorter ones none."""
+    rng = random.Random(4)
+
+    def words(size):
+        out = ""
+        while len(out) < size:
+            out += "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(3, 9))) + " "
+        return out[: size - 1] + "|"
+
+    texts, removed = [], []
+    for size in (320, 398, 399, 400, 401, 402, 480, 700, 3000):
+        passage = words(size)
+        assert len(passage) == size and len(passage.split()) > 50
+        for _ in range(3):  # what stands around it differs in its first and last byte
+            head, tail = words(rng.randrange(2, 900)), words(rng.randrange(2, 900))
+            texts.append(f"{head[:-1]}{len(texts):02d}{passage}{len(texts):02d}"[:-2] + chr(0x41 + len(texts)) + tail)
+            removed.append(size if size >= 400 else 0)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.repeated_passages(df).collect()}
+    for k, (text, size) in enumerate(zip(texts, removed)):
+        # A passage may meet the next byte by chance, never fewer bytes.
+        assert (got[k].n_removed == 0) if not size else size <= got[k].n_removed <= size + 2, (k, size)
+        assert got[k].n_bytes == len(text)
+
+
 # --- 9 ---------------------------------------------------------------------
 
 
