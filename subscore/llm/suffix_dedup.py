@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from subscore.llm.common import ROW, bitmap, bounded_batches, in_bitmap, mixed, numbered, stored, utf8
+from subscore.session import remove_folders, shared_folder
 
 LENGTH = 400  # bytes of a passage
 GRAM = 32  # bytes that make an anchor
@@ -334,7 +335,7 @@ def _passages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(content | {"at": np.array(starts, np.int32), "p1": p[:, 0], "p2": p[:, 1]})
 
 
-def _compare_many(texts: DataFrame) -> DataFrame:
+def _compare_many(texts: DataFrame, work: str) -> DataFrame:
     """As ``_compare``, for keys with so many stretches that no task can have them all.
 
     A passage is in a stretch once at most, as its anchor is the stretch's. So
@@ -344,7 +345,7 @@ def _compare_many(texts: DataFrame) -> DataFrame:
     """
     content = ["key", "d1", "d2"]
     starts = texts.select(*content, "bytes").mapInPandas(_passages, "key bigint, d1 bigint, d2 bigint, at int, p1 bigint, p2 bigint")
-    starts = stored(starts.withColumn("salt", F.pmod("d1", F.lit(SALTS))), "passages")
+    starts = stored(starts.withColumn("salt", F.pmod("d1", F.lit(SALTS))), "starts", work)
     twice = starts.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("p1", "p2")
     twice = twice.withColumn("salt", F.explode(F.array(*[F.lit(k).cast("bigint") for k in range(SALTS)])))
     place = F.row_number().over(Window.partitionBy(*content).orderBy("at"))
@@ -382,28 +383,30 @@ def repeated_passages(documents: DataFrame) -> DataFrame:
     bounded_batches(spark, 200)
     documents = stored(numbered(documents.select("doc_id", "text")), "rows")
     rows = stored(_scan(documents), "stretches")
+    work = shared_folder(spark, "passages")
     content = ["key", "d1", "d2"]
-    classes = stored(rows.groupBy(*content).agg(F.count(F.lit(1)).alias("n")), "contents")
+    classes = stored(rows.groupBy(*content).agg(F.count(F.lit(1)).alias("n")), "contents", work)
     open_keys = (
         classes.groupBy("key")
         .agg(F.count(F.lit(1)).alias("kinds"), F.count_if(F.col("n") == 1).alias("single"))
         .filter("kinds > 1 and single > 0")
         .select("key", "kinds")
     )
-    open_keys = stored(open_keys, "open")
+    open_keys = stored(open_keys, "open", work)
     known = bitmap(open_keys, "key", BITMAP_BITS)
     # Either way of comparing is right for any key, so that it doesn't matter what else has a hot key's bit.
     many = bitmap(open_keys.filter(F.col("kinds") > MANY), "key", MANY_BITS)
-    texts = stored(_texts_of(documents, known, many).dropDuplicates(content), "texts")
+    texts = stored(_texts_of(documents, known, many).dropDuplicates(content), "texts", work)
     few = texts.filter("not many").join(open_keys, "key", "left_semi").select(*content, "ahead", "bytes")
     compared = few.repartition("key").sortWithinPartitions("key").mapInPandas(
         _compare, "key bigint, d1 bigint, d2 bigint, spans array<struct<a:int,b:int>>"
     )
     if many.any():
-        compared = compared.unionByName(_compare_many(texts.filter("many")))
+        compared = compared.unionByName(_compare_many(texts.filter("many"), work))
     some = compared.join(classes.filter("n = 1").select(*content), content, "left_semi")
     whole = classes.filter("n > 1").select(*content).withColumn("spans", F.lit(None).cast("array<struct<a:int,b:int>>"))
     verdicts = stored(some.select(*content, "spans").unionByName(whole), "verdicts")
+    remove_folders(spark, [work])  # the verdicts are made; they are joined with rows and stretches below
     every = F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first") + 1).cast("int").alias("b")))
     hit = (
         rows.join(verdicts, content)
