@@ -27,6 +27,7 @@ from subscore.llm import (
     token_counts,
     toxicity,
 )
+from subscore.llm.common import word_hashes
 from tests.llm.conftest import DOCUMENTS
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +68,55 @@ def test_contamination_equals_brute_force(spark, documents, case_rows):
     same([tuple(r) for r in found.collect()], expected)
 
 
+@pytest.mark.parametrize("size", [1, 4, 5, 7, 10])
+def test_winnowing_keeps_a_fingerprint_of_every_shared_window(size):
+    rng = random.Random(size)
+    for vocabulary in (1, 2, 3, 50):
+        one, two = ([b"%d" % rng.randrange(vocabulary) for _ in range(rng.randrange(1, 90))] for _ in range(2))
+        two[len(two) // 2 : len(two) // 2] = one[len(one) // 3 : len(one) // 3 + size + 3]
+        kept = []
+        for words in (one, two):
+            at, prints = decontamination.winnowed(word_hashes(words), size)
+            kept.append(dict(zip(at.tolist(), prints.tolist())))
+        for i in range(len(one) - size + 1):
+            for j in range(len(two) - size + 1):
+                if one[i : i + size] == two[j : j + size]:
+                    assert any(i + k in kept[0] and kept[0][i + k] == kept[1].get(j + k) for k in range(size))
+    words = [b"%d" % rng.randrange(10**6) for _ in range(20_000)]
+    if size == 10:  # two of seven, not one of each window
+        assert len(decontamination.winnowed(word_hashes(words), size)[0]) < 0.31 * len(words)
+
+
+def test_hot_fingerprints_in_parts_give_the_same(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = "the quick brown fox jumps over the lazy dog and runs away from it".split()
+    items = [(k, " ".join(["x"] * (k % 3) + passage[: 9 + k % 6] + ["y"] * (k % 4))) for k in range(12)] + [(77, "z " * 40)]
+    texts = []
+    for k in range(200):
+        own = [rng.choice("abxyz") for _ in range(rng.randrange(30))]
+        own[len(own) // 2 : len(own) // 2] = passage[k % 3 : 15 - k % 5] if k % 2 else ["z"] * (k % 30)
+        texts.append((k, " ".join(own)))
+    documents = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = []
+    for doc, text in texts:
+        w, hit, which = _plain(text), set(), set()
+        for item, sought in items:
+            b = _plain(sought)
+            n = min(10, len(b))
+            spans = {tuple(b[k : k + n]) for k in range(len(b) - n + 1)}
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in spans:
+                    hit.update(range(k, k + n))
+                    which.add(str(item))
+        expected.append((doc, len(w), len(hit), sorted(which)))
+    assert sum(1 for e in expected if e[2]) > 50
+    for hot in (1000, 3):
+        monkeypatch.setattr(decontamination, "HOT", hot)
+        found = decontamination.find_contamination(documents, benchmark).select("doc_id", "n_words", "n_hit", "items")
+        same([tuple(r) for r in found.collect()], expected)
+
+
 def test_contamination_of_nothing(spark, documents, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_contamination(documents, none).filter("n_hit > 0").count() == 0
