@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -13,8 +14,8 @@ from tokenizers import Encoding, Tokenizer
 
 from subscore.llm.common import bounded_batches
 
-CHUNK = 50_000  # characters
-OVERLAP = 256
+CHUNK = 4_000  # characters
+OVERLAP = 64  # at first; doubled until both chunks have a boundary in it
 CACHED_UNITS = 500_000
 
 
@@ -40,15 +41,21 @@ def _margin(tokenizer: Tokenizer) -> int:
     return 4 + max([0, *(len(t.content) for t in tokenizer.get_added_tokens_decoder().values())])
 
 
-def word_starts(encoding: Encoding) -> dict[int, int]:
-    """Character offset at which a pre-tokenised word begins, to the tokens before it."""
-    starts, last = {}, -1
-    offsets = encoding.offsets
-    for k, word in enumerate(encoding.word_ids):
-        if word != last:
-            starts[offsets[k][0]] = k
-            last = word
-    return starts
+def word_starts(encoding: Encoding, begin: int = 0, end: int | None = None) -> dict[int, int]:
+    """Character offset at which a pre-tokenised word begins, to the tokens before it.
+
+    Of those from ``begin`` to ``end``: only where chunks overlap are they needed.
+    """
+
+    def offset(k: int) -> int:
+        return encoding.token_to_chars(k)[0]
+
+    tokens = range(len(encoding))
+    low = bisect_left(tokens, begin, key=offset)
+    high = len(tokens) if end is None else bisect_right(tokens, end, key=offset)
+    words = [encoding.token_to_word(k) for k in range(max(low - 1, 0), high)]
+    first = low - max(low - 1, 0)  # whether there is a token before
+    return {offset(k): k for k in range(low, high) if not k or words[k - low + first] != words[k - low + first - 1]}
 
 
 def spliced_count(tokenizer: Tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
@@ -67,15 +74,16 @@ def spliced_count(tokenizer: Tokenizer, text: str, chunk: int = CHUNK, overlap:
     left = tokenizer.encode(text[:size], add_special_tokens=False)
     while begin + size < len(text):
         end = begin + size
-        starts = {begin + at: k for at, k in word_starts(left).items() if k >= skip and begin + at <= end - margin}
         wide, cut = overlap, None
         while cut is None:
             at = max(end - wide, begin + 1)
             length = chunk + end - at
             right = tokenizer.encode(text[at : at + length], add_special_tokens=False)
-            shared = word_starts(right)
+            starts = word_starts(left, at - begin, size - margin)
+            shared = word_starts(right, 0, end - margin - at)
             # Where the right chunk begins is a boundary to it only.
-            cut = next((p for p in starts if p > at and p - at in shared), None)
+            both = (p for p, k in starts.items() if k >= skip and begin + p > at and begin + p - at in shared)
+            cut = next(both, None)
             if at == begin + 1:
                 break
             wide *= 2
@@ -84,7 +92,7 @@ def spliced_count(tokenizer: Tokenizer, text: str, chunk: int = CHUNK, overlap:
             left = tokenizer.encode(text[begin : begin + size], add_special_tokens=False)
             continue
         total += starts[cut] - skip
-        begin, size, skip, left = at, length, shared[cut - at], right
+        begin, size, skip, left = at, length, shared[begin + cut - at], right
     return total + len(left) - skip
 
 
@@ -137,7 +145,8 @@ class UnitCounts:
 def count_tokens(documents: DataFrame, tokenizer_path: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """``doc_id``, ``n_bytes`` and ``n_tokens`` of every row; null counts as empty.
 
-    Texts beyond ``chunk`` characters are encoded in overlapping chunks, so that
+    Texts beyond ``chunk`` characters are encoded in overlapping chunks (on the given
+    tables half of all text), so that
     memory doesn't grow with a text's length; shorter ones by ``UnitCounts``.
     Counts are those of the library for the whole text, without begin, end or
     added special tokens. The file is opened by each task: ``tokenizer_path``

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -283,6 +284,15 @@ def test_token_counts_equal_the_library(documents, empty, case_rows):
     assert token_counts.count_tokens(empty, PATH).count() == 0
 
 
+def test_splicing_carries_the_long_texts_of_the_given_table():
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()]
+    tokenizer = token_counts._tokenizer(PATH)
+    long_texts = [t for t in texts if len(t) > token_counts.CHUNK]
+    assert sum(map(len, long_texts)) > 0.05 * sum(map(len, texts))
+    for t in long_texts:
+        assert token_counts.spliced_count(tokenizer, t) == len(tokenizer.encode(t, add_special_tokens=False))
+
+
 @pytest.mark.parametrize("chunk,overlap", [(40, 1), (97, 5), (60, 59), (5000, 10)])
 def test_splicing_and_units_are_exact(chunk, overlap):
     tokenizer = token_counts._tokenizer(PATH)
