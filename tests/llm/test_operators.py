@@ -155,7 +155,7 @@ def test_field_learns_and_decodes_best_path(spark):
     (added,) = secrets.added_spans(field, text, secrets.base_spans(text))
     assert text[added[0] : added[2]] == "5f0c9d7be2a1446688c0d1e2"
     for s in secrets.sequences(text):
-        scores, steps = field._scores(s), field.steps
+        scores, steps = field.scores(s), field.steps
 
         def worth(tags, scores=scores, steps=steps):
             return sum(scores[k, t] for k, t in enumerate(tags)) + sum(steps[a, b] for a, b in zip(tags, tags[1:]))
@@ -163,11 +163,41 @@ def test_field_learns_and_decodes_best_path(spark):
         best = field.decode(s)
         rng = random.Random(1)
         for _ in range(300):
-            other = [rng.randrange(3) if shaped else 0 for shaped in s.shaped]
+            other = [rng.randrange(3) if rng.random() < 0.5 else 0 for _ in s.spans]
             if other[0] != secrets.INSIDE:
                 assert worth(other) <= worth(best) + 1e-9
 
 
+def test_field_finds_secrets_that_no_pattern_matches(spark):
+    rng = random.Random(12)
+    prose = "the of and to in that is was for on with as by at from his they which one had not but what all were".split()
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def around(middle):
+        return " ".join(rng.choices(prose, k=25)) + f" {middle} " + " ".join(rng.choices(prose, k=25))
+
+    def value(alphabet, n):
+        return "".join(rng.choices(alphabet, k=n))
+
+    taught = [f"password={value('0123456789abcdef', 18)}", f"AKIA{value('ABCDEFGHIJKL0123456789', 16)}", 'token = "%s"', "call 555-1234 on 2020-01-02",
+              "the author: he had a key and passed", "see http://host.org/path/to/page.html now"]
+    texts = [(k, around(taught[k % 6].replace("%s", value("0123456789abcdef", 40)))) for k in range(600)]
+    field = secrets.fit_secrets(spark.createDataFrame(texts, "doc_id long, text string"))
+    kinds = [lambda: ("Bearer ", value(letters, 22)), lambda: ("credential=", value(letters + "0123456789!#$%", 16)),
+             lambda: ("use ", value(letters + "0123456789", 30)), lambda: ("pwd: ", value("0123456789abcdef", 20))]
+    caught = 0
+    for k in range(200):
+        before, secret = kinds[k % 4]()
+        text = around(before + secret)
+        base = secrets.base_spans(text)
+        assert not base
+        caught += secret in [text[a:b] for a, _, b in secrets.added_spans(field, text, base)]
+    assert caught >= 180, caught
+    clean = [around(rng.choice(["passage of the author", "a key: he was", "on 2021-03-04 at 10:30", "call 555-9876", "token of it"])) for _ in range(200)]
+    wrong = sum(bool(secrets.added_spans(field, t, [])) for t in clean)
+    assert wrong <= 4, wrong
+
+
 def test_secrets_of_all_cases(spark, documents, empty, case_rows):
     field = secrets.fit_random_field([])
     got = secrets.find_secrets(documents, field).collect()
