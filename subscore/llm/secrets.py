@@ -57,7 +57,7 @@ _NUMERIC = re.compile(r"[0-9.+/_-]+\Z")
 _HEX_ONLY = re.compile(r"[0-9a-f]+\Z")
 _WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "access", "private")
 _WORD = re.compile(r"[A-Za-z]?[a-z]+\Z")
-REACH = 60  # characters of context on either side of what a secret may be or stand beside
+REACH = 60  # characters of context that a taught stretch has on either side
 OUT, BEGIN, INSIDE = range(3)
 
 
@@ -136,10 +136,30 @@ def _anchors(text: str) -> list[tuple[int, int]]:
     return sorted(found)
 
 
+def _described(text: str, spans: list[tuple[int, int]], of_file: list[bool]) -> Sequence:
+    tokens = [text[a:b] for a, b in spans]
+    beside = [_beside(t) for t in (None, None, *tokens, None, None)]
+    rows = [
+        [True, k > 0 and spans[k - 1][1] == spans[k][0], *_own(t), *beside[k], *beside[k + 1], *beside[k + 3], *beside[k + 4], *of_file]
+        for k, t in enumerate(tokens)
+    ]
+    return Sequence(spans, np.array(rows, np.float64))
+
+
+def token_spans(text: str) -> list[tuple[int, int]]:
+    return [m.span() for m in _TOKEN.finditer(text)]
+
+
 def sequences(text: str) -> list[Sequence]:
-    """The stretches of a text in which a secret may be, by what is in it or beside it.
+    """All tokens of a text as one sequence, any of which can be a secret; none of a text without tokens."""
+    spans = token_spans(text)
+    return [_described(text, spans, _file(text))] if spans else []
+
+
+def taught_stretches(text: str) -> list[Sequence]:
+    """Stretches of a text to teach with: what stands near what may be a secret, and one taken from anywhere.
 
-    Within them, any token can be one; its shape is a feature like others.
+    The field decodes whole texts; this only chooses what a bounded sample is made of.
     """
     windows: list[list[int]] = []
     for a, b in _anchors(text):
@@ -147,7 +167,7 @@ def sequences(text: str) -> list[Sequence]:
             windows[-1][1] = max(windows[-1][1], b + REACH)
         else:
             windows.append([max(0, a - REACH), b + REACH])
-    of_file = _file(text) if windows else []
+    of_file = _file(text)
     found: list[Sequence] = []
     last = 0
     for begin, end in windows:
@@ -159,15 +179,16 @@ def sequences(text: str) -> list[Sequence]:
             end += 1
         last = end
         spans = [m.span() for m in _TOKEN.finditer(text, begin, end)]
-        if not spans:
-            continue
-        tokens = [text[a:b] for a, b in spans]
-        beside = [_beside(t) for t in (None, None, *tokens, None, None)]
-        rows = [
-            [True, k > 0 and spans[k - 1][1] == spans[k][0], *_own(t), *beside[k], *beside[k + 1], *beside[k + 3], *beside[k + 4], *of_file]
-            for k, t in enumerate(tokens)
-        ]
-        found.append(Sequence(spans, np.array(rows, np.float64)))
+        if spans:
+            found.append(_described(text, spans, of_file))
+    crc = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    if crc % 4 == 0 and text:
+        begin = crc // 4 % len(text)
+        while begin and not text[begin - 1].isspace():
+            begin -= 1
+        spans = [m.span() for m in _TOKEN.finditer(text, begin, begin + 6 * REACH)][:LONGEST]
+        if spans:
+            found.append(_described(text, spans, of_file))
     return found
 
 
@@ -199,6 +220,80 @@ class RandomField:
         return tags[::-1]
 
 
+class Decoder:
+    """Decodes whole texts: what a token adds to the scores is reckoned once for all places where it stands."""
+
+    LIMIT = 200_000  # tokens that are remembered
+
+    def __init__(self, field: RandomField) -> None:
+        w = field.weights
+        besides = 2 + OWN
+        self.constant, self.glued, self.own = w[0], w[1], w[2:besides]
+        self.beside = np.hstack([w[besides + BESIDE * k : besides + BESIDE * (k + 1)] for k in range(4)])
+        self.file = w[besides + 4 * BESIDE :]
+        self.steps = field.steps.tolist()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.table = np.zeros((1024, 15))
+        self.table[0, 3:] = np.array(_beside(None), float) @ self.beside  # beyond a text's ends
+
+    def _learn(self, token: str) -> int:
+        k = self.known[token] = len(self.known) + 1
+        if k == len(self.table):
+            self.table = np.vstack([self.table, np.zeros_like(self.table)])
+        self.table[k, :3] = np.array(_own(token), float) @ self.own
+        self.table[k, 3:] = np.array(_beside(token), float) @ self.beside
+        return k
+
+    def scores(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+        """As ``RandomField.scores`` of the text's sequence."""
+        if len(self.known) > self.LIMIT:
+            self.forget()
+        known = self.known
+        at = np.zeros(len(spans) + 4, np.int64)
+        at[2:-2] = [known.get(t) or self._learn(t) for t in [text[a:b] for a, b in spans]]
+        places = np.array(spans)
+        glued = np.r_[False, places[1:, 0] == places[:-1, 1]]
+        out = self.table[at[2:-2], :3] + (self.constant + np.array(_file(text), float) @ self.file)
+        out += glued[:, None] * self.glued
+        for k, shift in enumerate((0, 1, 3, 4)):
+            out += self.table[at[shift : shift + len(spans)], 3 + 3 * k : 6 + 3 * k]
+        return out
+
+    def decode(self, text: str, spans: list[tuple[int, int]]) -> list[int]:
+        """The likeliest tags of a whole text, as ``RandomField.decode``."""
+        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = self.steps
+        rows = self.scores(text, spans)
+        highest = max(ob, oi, bo, bb, bi, io, ib, ii) - oo
+        if ((rows[:, 1:].max(1) - rows[:, 0]) + 2 * max(0.0, highest) < 0).all():
+            return [OUT] * len(spans)  # a tag that isn't out loses wherever it stands
+        rows = rows.tolist()
+        o, b, i = rows[0][0], rows[0][1], -1e9
+        back = []
+        for so, sb, si in rows[1:]:
+            to_o, to_b, to_i = (o + oo, OUT), (o + ob, OUT), (o + oi, OUT)
+            if b + bo > to_o[0]:
+                to_o = (b + bo, BEGIN)
+            if i + io > to_o[0]:
+                to_o = (i + io, INSIDE)
+            if b + bb > to_b[0]:
+                to_b = (b + bb, BEGIN)
+            if i + ib > to_b[0]:
+                to_b = (i + ib, INSIDE)
+            if b + bi > to_i[0]:
+                to_i = (b + bi, BEGIN)
+            if i + ii > to_i[0]:
+                to_i = (i + ii, INSIDE)
+            back.append((to_o[1], to_b[1], to_i[1]))
+            o, b, i = to_o[0] + so, to_b[0] + sb, to_i[0] + si
+        tags = [max((o, -OUT), (b, -BEGIN), (i, -INSIDE))[1] * -1]
+        for arrows in reversed(back):
+            tags.append(arrows[tags[-1]])
+        return tags[::-1]
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
@@ -270,7 +365,7 @@ def masked(s: Sequence) -> Sequence:
 
 # What secrets are drawn from to teach more shapes than the patterns have.
 _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ALPHABETS = (_LETTERS, _LETTERS + "0123456789", _LETTERS + "0123456789!#$%&*+/_-")
+ALPHABETS = ("0123456789abcdef", _LETTERS, _LETTERS + "0123456789", _LETTERS + "0123456789!#$%&*+/_-")
 
 
 def redrawn(text: str, parts: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
@@ -317,7 +412,7 @@ def fit_secrets(documents: DataFrame) -> RandomField:
                 if bodies[0][1]:
                     bodies.append(redrawn(*bodies[0]))
                 for body, parts in bodies:
-                    for s in sequences(body):
+                    for s in taught_stretches(body):
                         if len(s.spans) <= LONGEST:
                             bits = np.packbits(s.features.astype(bool)).tobytes()
                             rows.append((str(doc), s.spans[0][0], bits, taught_tags(s, parts)))
@@ -339,16 +434,16 @@ def fit_secrets(documents: DataFrame) -> RandomField:
     return fit_random_field(examples if any(BEGIN in t for _, t in examples) else [])
 
 
-def added_spans(field: RandomField, text: str, base: list[Span]) -> list[Span]:
-    """Secrets that the field finds outside all base spans."""
+def added_spans(field: RandomField | Decoder, text: str, base: list[Span]) -> list[Span]:
+    """Secrets that the field finds outside all base spans, anywhere in the text."""
+    decoder = field if isinstance(field, Decoder) else Decoder(field)
     spans: list[Span] = []
-    for s in sequences(text):
-        tags = field.decode(s)
-        for (a, b), tag in zip(s.spans, tags):
-            if tag == BEGIN:
-                spans.append((a, 3, b))
-            elif tag == INSIDE and spans:
-                spans[-1] = (spans[-1][0], 3, b)
+    tokens = token_spans(text)
+    for (a, b), tag in zip(tokens, decoder.decode(text, tokens) if tokens else []):
+        if tag == BEGIN:
+            spans.append((a, 3, b))
+        elif tag == INSIDE and spans:
+            spans[-1] = (spans[-1][0], 3, b)
     return [x for x in spans if not any(x[0] < b and a < x[2] for a, _, b in base)]
 
 
@@ -369,11 +464,12 @@ def find_secrets(documents: DataFrame, field: RandomField) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        decoder = Decoder(shared.value)
         for batch in batches:
             rows = []
             for text in batch["text"].fillna(""):
                 base = base_spans(text)
-                every = base + added_spans(shared.value, text, base)
+                every = base + added_spans(decoder, text, base)
                 counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 rows.append((*counts, spans_text(base), spans_text(every)))
             out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans"])

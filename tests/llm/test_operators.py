@@ -198,6 +198,25 @@ def test_field_finds_secrets_that_no_pattern_matches(spark):
     assert wrong <= 4, wrong
 
 
+def test_field_reads_every_position(spark):
+    """Letters only, with no digit, trigger word or assignment anywhere in the text."""
+    rng = random.Random(7)
+    field = secrets.fit_secrets(spark.createDataFrame(_secret_texts(), "doc_id long, text string"))
+    prose = "the of and to in that is was for on with as by at from his they which one had not but what all were".split()
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    caught = wrong = 0
+    for _ in range(60):
+        before, after, secret = " ".join(rng.choices(prose, k=400)), " ".join(rng.choices(prose, k=400)), "".join(rng.choices(letters, k=26))
+        text = f"{before} {secret} {after}"
+        found = [text[a:b] for a, _, b in secrets.added_spans(field, text, secrets.base_spans(text))]
+        caught, wrong = caught + (secret in found), wrong + len(set(found) - {secret})
+    assert caught >= 54 and wrong <= 3, (caught, wrong)
+    decoder = secrets.Decoder(field)
+    for _, text in _secret_texts()[:40]:
+        (s,) = secrets.sequences(text)
+        assert np.allclose(decoder.scores(text, s.spans), field.scores(s)) and decoder.decode(text, s.spans) == field.decode(s)
+
+
 def test_secrets_of_all_cases(spark, documents, empty, case_rows):
     field = secrets.fit_random_field([])
     got = secrets.find_secrets(documents, field).collect()
