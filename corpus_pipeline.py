@@ -20,7 +20,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from subscore.llm.common import ROW, numbered, stored, table
+from subscore.llm.common import ROW, numbered, stored, table, without
 from subscore.llm.decontamination import find_contamination
 from subscore.llm.mixing import mixed_documents
 from subscore.llm.near_dedup import near_duplicates
@@ -67,9 +67,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = stored(numbered(docs), "rows")
     found = near_duplicates(rows)
     first = F.min_by(ROW, F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias(ROW)
-    first_of = found.filter("n_shingles > 0").groupBy("component").agg(first).select(ROW)
-    keep = first_of.unionByName(found.filter("n_shingles = 0").select(ROW))
-    return rows.join(keep, ROW, "left_semi").select(*docs.columns)
+    found = found.filter("n_shingles > 0")
+    first_of = found.groupBy("component").agg(first).select(ROW)
+    dropped = stored(found.select(ROW).join(first_of, ROW, "left_anti"), "dropped")
+    return without(rows, dropped, ROW).select(*docs.columns)
 
 
 @tidy
@@ -81,7 +82,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     digest = F.sha2(F.col("text").cast("binary"), 256)
     found = find_contamination(docs.select(digest.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
     dirty = stored(found.filter("n_hit > 0").select(F.col("doc_id").alias("_digest")).distinct(), "dirty")
-    return docs.withColumn("_digest", digest).join(dirty, "_digest", "left_anti").select(*docs.columns)
+    return without(docs.withColumn("_digest", digest), dirty, "_digest").select(*docs.columns)
 
 
 @tidy

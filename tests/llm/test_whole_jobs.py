@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from subscore.llm import decontamination, mixing, near_dedup, suffix_dedup
+from subscore.llm import common, decontamination, mixing, near_dedup, suffix_dedup
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from conftest import rows  # noqa: E402
@@ -127,3 +127,16 @@ def test_a_passage_in_very_many_texts_is_in_no_task_as_a_whole(spark, tmp_path,
     monkeypatch.setattr(suffix_dedup, "_compare", checked)
     got = suffix_dedup.repeated_passages(spark.read.parquet(str(tmp_path / "d"))).collect()
     assert sorted((r.doc_id, bytes(r.kept).decode()) for r in got) == expected
+
+
+def test_rows_that_are_not_dropped_are_not_shuffled(spark, tmp_path):
+    rows_ = [(k if k % 7 else None, "x" * 20) for k in range(3000)]
+    spark.createDataFrame(rows_, "key long, text string").write.parquet(str(tmp_path / "rows"))
+    spark.range(0, 3000, 11).selectExpr("id key").write.parquet(str(tmp_path / "dropped"))
+    table, dropped = (spark.read.parquet(str(tmp_path / n)) for n in ("rows", "dropped"))
+    expected = sorted(map(str, table.join(dropped, "key", "left_anti").collect()))
+    for bits in (24, 16):  # the fuller bitmap lets more rows through to the join
+        kept = common.without(table, dropped, "key", bits)
+        assert sorted(map(str, kept.collect())) == expected
+    sure, joined = kept._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti")
+    assert "Filter" in sure and "Repartition" not in joined
