@@ -28,6 +28,8 @@ from subscore.llm.sharding import assign_shards
 from subscore.llm.toxicity import fit_toxicity, score_toxicity
 from subscore.session import folders_made, remove_folders, shared_folder
 
+MIX = "_mix"  # a row's place in the mixture, from mixing to sharding
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -87,14 +89,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @tidy
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which the sources' target weights interleave them."""
-    return mixed_documents(docs)
+    """All documents, in the order in which the sources' target weights interleave them: ``_mix`` is a row's place."""
+    return mixed_documents(docs, order=MIX)
 
 
 @tidy
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes: ``shard`` and ``slot``."""
-    return assign_shards(docs).select("doc_id", "size", "text_crc32", "shard", "slot")
+    """Where each document goes: ``shard`` and ``slot``, which runs through the mixture if there is one."""
+    return assign_shards(docs, order=MIX if MIX in docs.columns else None).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 STAGES = [

@@ -191,9 +191,14 @@ def schedule(documents: DataFrame, weights: Mapping[str | None, float] | None =
     return ranked.join(plan, ["_null", "_name", "block"]).select(ROW, "doc_id", "source", "source_rank", "block", "slot", "place")
 
 
-def mixed_documents(documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
+def mixed_documents(
+    documents: DataFrame, weights: Mapping[str | None, float] | None = None, block: int = BLOCK, order: str | None = None
+) -> DataFrame:
     """All documents in the order of the mixture: file by file, row by row.
 
+    With ``order`` a column of that name gives a row's place in the mixture, since a
+    reader may take the files in any order.
+
     Slots are numbered without gaps, so that equal ranges of them are the files: no
     sample of the texts is taken to find the ranges.
     """
@@ -203,4 +208,5 @@ def mixed_documents(documents: DataFrame, weights: Mapping[str | None, float] |
     slots = (places.agg(F.max("_slot")).first()[0] or 0) + 1
     files = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.join(places, ROW).repartitionById(files, F.floor(F.col("_slot") * files / slots).cast("int"))
-    return dealt.sortWithinPartitions("_slot", "_place").select(*documents.columns)
+    place = [(F.col("_slot") * block + F.col("_place")).alias(order)] if order else []
+    return dealt.sortWithinPartitions("_slot", "_place").select(*documents.columns, *place)

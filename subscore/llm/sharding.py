@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from subscore.functions.positions import with_positions
@@ -56,7 +56,26 @@ def propagate(linked: DataFrame, capacity: int, shards: int, round_: int) -> Dat
     return asked.select(ROW, "group", "members", F.when(moves, F.col("target")).otherwise(F.col("label")).alias("label"))
 
 
-def assign_shards(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, links: str | None = None) -> DataFrame:
+def dealt(room: list[int], position: Column) -> Column:
+    """The shard that the row at ``position`` of all goes to.
+
+    Rows are dealt out one by one to the shards in turn; a shard that has got its ``room``
+    is passed over from then on.
+    """
+    shard = F.lit(0)
+    begin = low = 0
+    for high in sorted({n for n in room if n}):
+        takers = [s for s, n in enumerate(room) if n >= high]
+        taker = F.get(F.array(*[F.lit(s) for s in takers]), ((position - begin) % len(takers)).cast("int"))
+        shard = F.when(position >= begin, taker).otherwise(shard)
+        begin += (high - low) * len(takers)
+        low = high
+    return shard
+
+
+def assign_shards(
+    documents: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, links: str | None = None, order: str | None = None
+) -> DataFrame:
     """Add ``shard`` and ``slot`` to every row; row counts of shards differ by one at most.
 
     Documents with the same ``links`` value, by default those with equal texts,
@@ -65,6 +84,10 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUN
     place, fill up the rest in one order. ``slot`` numbers the rows of a shard
     from 0 without gaps.
 
+    With an ``order``, the name of a column, a shard's slots follow it, and the rows that
+    fill up are dealt to the shards in turn by it: each shard runs through the whole
+    order evenly, and so do shards that are read side by side.
+
     Null texts count as empty, and null ``links`` values as no link. Repeated
     rows are documents of their own. With fewer rows than shards, some shards
     stay empty.
@@ -80,6 +103,7 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUN
             (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size"),
             F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).alias("text_crc32"),
             group.alias("group"),
+            *([F.col(order).alias("_order")] if order else []),
         ),
         "base",
     )
@@ -91,12 +115,21 @@ def assign_shards(documents: DataFrame, shards: int = SHARDS, rounds: int = ROUN
     # Exact sizes: the first shards have one row more.
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
     full = F.get(F.array(*[F.lit(n) for n in sizes]), F.col("label"))
-    order = [F.col("group"), F.col(ROW)]
-    placed = with_positions(linked, ["label"], order, f"{shared_folder(spark, 'shards')}/linked")
+    by_group = [F.col("group"), F.col(ROW)]
+    in_order = [F.col("_order"), F.col(ROW)] if order else by_group
+    placed = with_positions(linked, ["label"], by_group, f"{shared_folder(spark, 'shards')}/linked")
     placed = stored(placed.filter(F.col("_position") < full).select(ROW, "label", "_position"), "placed")
     held = {r["label"]: r["n"] for r in placed.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rest = stored(base.join(placed, ROW, "left_anti").select(ROW, "group"), "rest")
-    rest = with_positions(rest, [], [F.col("group"), F.col(ROW)], f"{shared_folder(spark, 'shards')}/rest")
+    rest = stored(base.join(placed, ROW, "left_anti").drop("doc_id", "size", "text_crc32"), "rest")
+    rest = with_positions(rest, [], in_order, f"{shared_folder(spark, 'shards')}/rest")
+    if order:
+        shard = dealt([n - held.get(s, 0) for s, n in enumerate(sizes)], F.col("_position"))
+        rest = rest.select(ROW, shard.alias("shard"))
+        every = placed.select(ROW, F.col("label").alias("shard")).unionByName(rest)
+        every = stored(every.join(base.select(ROW, "_order"), ROW), "every")
+        every = with_positions(every, ["shard"], in_order, f"{shared_folder(spark, 'shards')}/every", "slot")
+        every = every.select(ROW, "shard", "slot")
+        return base.join(every, ROW).select("doc_id", "size", "text_crc32", "group", "shard", "slot")
     begin, begins = 0, []
     for s in range(shards):
         begins.append(begin)

@@ -10,9 +10,10 @@ from fractions import Fraction
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from subscore.llm import common, decontamination, mixing, near_dedup, suffix_dedup
+from subscore.llm import common, decontamination, mixing, near_dedup, sharding, suffix_dedup
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from conftest import rows  # noqa: E402
@@ -140,3 +141,30 @@ def test_rows_that_are_not_dropped_are_not_shuffled(spark, tmp_path):
         assert sorted(map(str, kept.collect())) == expected
     sure, joined = kept._jdf.queryExecution().optimizedPlan().toString().split("Join LeftAnti")
     assert "Filter" in sure and "Repartition" not in joined
+
+
+def test_dealt_in_turn_until_shards_are_full(spark):
+    room = [3, 0, 5, 1]
+    n = sum(room)
+    got = [r.s for r in spark.range(n).orderBy("id").select(sharding.dealt(room, F.col("id")).alias("s")).collect()]
+    assert got == [0, 2, 3, 0, 2, 0, 2, 2, 2]
+    assert spark.range(2).select(sharding.dealt([0, 0], F.col("id"))).count() == 2
+
+
+def test_shards_run_through_the_mixture(spark, documents, tmp_path):
+    corpus_pipeline.mixing(spark, documents, str(tmp_path)).write.parquet(str(tmp_path / "mixed"))
+    mixed = spark.read.parquet(str(tmp_path / "mixed"))
+    order = [r["_mix"] for r in mixed.select("_mix").collect()]
+    assert len(set(order)) == len(order) == documents.count()
+    sizes = Counter()
+    placed = sharding.assign_shards(mixed.withColumn("doc_id", F.col("_mix")), shards=4, order="_mix").collect()
+    for shard in range(4):
+        slots = sorted((r.slot, r.doc_id) for r in placed if r.shard == shard)
+        assert [s for s, _ in slots] == list(range(len(slots)))
+        assert [m for _, m in slots] == sorted(m for _, m in slots)
+        sizes[len(slots)] += 1
+    assert max(sizes) - min(sizes) <= 1
+    # Another mixture of the same rows gives other shards.
+    turned = mixed.withColumn("_mix", -F.col("_mix"))
+    here, there = (rows(corpus_pipeline.sharding(spark, d, str(tmp_path))) for d in (mixed, turned))
+    assert len(here) == len(there) == len(order) and here != there
