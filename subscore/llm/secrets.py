@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import random
 import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -50,6 +52,7 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
 
 _EDGE = r"\s=:@\"'`(),;\[\]{}<>"  # what ends a token wherever it stands; full stops and the like only at its end
 _TOKEN = re.compile(rf"[^{_EDGE}.!?]+(?:[.!?]+[^{_EDGE}.!?]+)*|[=:@\"'`]|[(),;\[\]{{}}<>]+|[.!?]+")
+_PIECE = re.compile(rf"\s+|{_TOKEN.pattern}")  # tokens and what is between them
 _SHAPED = re.compile(r"[A-Za-z0-9+/_.-]{8,}")
 _VALUE = re.compile(r"[=:]\x20?[\"'`]?[^\s=:]{6,}")  # something given after = or :
 _DIGIT = re.compile(r"[0-9]")
@@ -115,6 +118,76 @@ def _file(text: str) -> list[bool]:
     return [assigned > 0, assigned >= lines, "{" in text and "}" in text, "BEGIN" in text, len(text) < 2000]
 
 
+# What a character is like, a bit each.
+_CHARACTERS = (
+    str.isupper, str.islower, str.isdigit, lambda c: not c.isalnum() and c not in "+/_.-",
+    lambda c: c in "0123456789", lambda c: bool(_NUMERIC.match(c)), lambda c: bool(_HEX_ONLY.match(c)),
+    lambda c: bool(re.match(r"[A-Za-z0-9+/_.-]\Z", c)), lambda c: bool(re.match(r"[a-z]\Z", c)), lambda c: bool(re.match(r"[A-Za-z]\Z", c)),
+    lambda c: c == ".", lambda c: c in "_-", lambda c: c in "/+",
+)
+UNKNOWN = 1 << 15
+_BITS = np.full(sys.maxunicode + 1, UNKNOWN, np.uint16)
+
+
+def _bits(codes: np.ndarray) -> np.ndarray:
+    """The bits of ``_CHARACTERS`` of each code point."""
+    bits = _BITS[codes]
+    if (bits == UNKNOWN).any():
+        for code in np.unique(codes[bits == UNKNOWN]).tolist():
+            _BITS[code] = sum(test(chr(code)) << k for k, test in enumerate(_CHARACTERS))
+        bits = _BITS[codes]
+    return bits
+
+
+def described_tokens(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``_own`` and ``_beside`` of many tokens at once, a row each."""
+    n = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    starts = np.cumsum(n) - n
+    codes = np.frombuffer("".join(tokens).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    bits = _bits(codes)
+
+    def counts(k: int, skip_first: bool = False) -> np.ndarray:
+        is_so = (bits >> k & 1).astype(np.int64)
+        return np.add.reduceat(is_so, starts) - (is_so[starts] if skip_first else 0)
+
+    # Of each token, how often each of its characters occurs.
+    pairs = np.sort(np.repeat(np.arange(len(tokens)), n) << 21 | codes)
+    heads = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    of = pairs[heads] >> 21
+    share = np.diff(np.r_[heads, len(pairs)]) / n[of]
+    h = -np.bincount(of, share * np.log2(share), len(tokens))
+    upper, lower, digits, plain = counts(0) > 0, counts(1) > 0, counts(2), counts(4)
+    numeric = counts(5) == n
+    shaped = (n >= 8) & (plain > 0) & (counts(7) == n)
+    letter_first = (bits[starts] >> np.where(n > 1, 9, 8) & 1) == 1
+    own = [
+        n < 4, (4 <= n) & (n < 8), (8 <= n) & (n < 12), (12 <= n) & (n < 16), (16 <= n) & (n < 20), (20 <= n) & (n < 32), n >= 32,
+        h < 2, (2 <= h) & (h < 3), (3 <= h) & (h < 3.6), h >= 3.6,
+        upper, lower, upper & lower, digits > 0, digits * 4 >= n, digits == n,
+        numeric, counts(6) == n,
+        counts(10) > 0, counts(11) > 0, counts(12) > 0,
+        shaped, shaped & ~numeric & (digits * 8 >= n),
+        letter_first & (counts(8, True) == n - 1), upper & lower & (counts(0, True) > 1),
+        counts(3) > 0,
+    ]
+    one = np.where(n == 1, codes[starts], 0)
+    trigger = np.zeros(len(tokens), bool)
+    joined = "\n".join(tokens)
+    low = joined.lower()
+    if len(low) == len(joined):
+        ends = np.cumsum(n + 1)
+        for w in _WORDS:
+            at = low.find(w)
+            while at >= 0:
+                trigger[np.searchsorted(ends, at, "right")] = True
+                at = low.find(w, at + len(w))
+    else:  # a few letters grow when lower-cased
+        trigger[:] = [_trigger(t) for t in tokens]
+    quote = np.isin(one, [ord(c) for c in "\"'`"])
+    beside = [np.zeros(len(tokens), bool), one == ord("="), one == ord(":"), one == ord("@"), quote, trigger]
+    return np.column_stack(own), np.column_stack(beside)
+
+
 OWN, BESIDE = 27, 6
 WIDTH = 2 + OWN + BESIDE * 4 + 5
 TRIGGERS = [2 + OWN + BESIDE * k - 1 for k in range(1, 5)]  # the columns that tell of a word like password nearby
@@ -232,48 +305,120 @@ class Decoder:
         self.beside = np.hstack([w[besides + BESIDE * k : besides + BESIDE * (k + 1)] for k in range(4)])
         self.file = w[besides + 4 * BESIDE :]
         self.steps = field.steps.tolist()
+        (oo, ob, _), (bo, bb, bi), (io, ib, ii) = self.steps
+        # What a tag that isn't out gains at most, against out, by the steps from the token before and to the next one.
+        self.before = max(0.0, ob - oo, bb - bo, bi - bo, ib - io, ii - io)
+        self.after = max(0.0, bo - oo, io - oo, bb - ob, ib - ob)
+        # An inside after it would have to begin instead.
+        self.inside = max(bi, ii) - ob + max(io - bo, ib - bb, ii - bi, 0.0)
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
         self.table = np.zeros((1024, 15))
         self.table[0, 3:] = np.array(_beside(None), float) @ self.beside  # beyond a text's ends
+        self.size = 1
 
-    def _learn(self, token: str) -> int:
-        k = self.known[token] = len(self.known) + 1
-        if k == len(self.table):
+    def _learn(self, tokens: list[str]) -> None:
+        begin, self.size = self.size, self.size + len(tokens)
+        while self.size > len(self.table):
             self.table = np.vstack([self.table, np.zeros_like(self.table)])
-        self.table[k, :3] = np.array(_own(token), float) @ self.own
-        self.table[k, 3:] = np.array(_beside(token), float) @ self.beside
-        return k
+        own, beside = described_tokens(tokens)
+        self.table[begin : self.size, :3] = own.astype(float) @ self.own
+        self.table[begin : self.size, 3:] = beside.astype(float) @ self.beside
+        self.known.update(zip(tokens, range(begin, self.size)))
+
+    def _places(self, pieces: list[str]) -> list[int]:
+        """The row of the table for each piece; -1 for white space."""
+        places = list(map(self.known.get, pieces))
+        if None in places:
+            if len(self.known) > self.LIMIT:
+                self.forget()
+            new = {t for t in pieces if t not in self.known}
+            spaces = [t for t in new if t.isspace()]
+            self.known.update(dict.fromkeys(spaces, -1))
+            if new := sorted(new.difference(spaces)):
+                self._learn(new)
+            places = list(map(self.known.__getitem__, pieces))
+        return places
 
     def scores(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
         """As ``RandomField.scores`` of the text's sequence."""
-        if len(self.known) > self.LIMIT:
-            self.forget()
-        known = self.known
-        at = np.zeros(len(spans) + 4, np.int64)
-        at[2:-2] = [known.get(t) or self._learn(t) for t in [text[a:b] for a, b in spans]]
-        places = np.array(spans)
-        glued = np.r_[False, places[1:, 0] == places[:-1, 1]]
-        out = self.table[at[2:-2], :3] + (self.constant + np.array(_file(text), float) @ self.file)
-        out += glued[:, None] * self.glued
+        return self._scores(text, *self._tokens(text))
+
+    def _tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all tokens the row of the table, the start and the end."""
+        pieces = _PIECE.findall(text)
+        at = np.array(self._places(pieces), np.int64)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends, tokens = np.cumsum(sizes), at >= 0
+        starts = ends - sizes
+        return at[tokens], starts[tokens], ends[tokens]
+
+    def _scores(self, text: str, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        n = len(at)
+        around = np.zeros(n + 4, np.int64)
+        around[2:-2] = at
+        out = self.table[at, :3] + (self.constant + np.array(_file(text), float) @ self.file)
+        out[1:] += (starts[1:] == ends[:-1])[:, None] * self.glued
         for k, shift in enumerate((0, 1, 3, 4)):
-            out += self.table[at[shift : shift + len(spans)], 3 + 3 * k : 6 + 3 * k]
+            out += self.table[around[shift : shift + n], 3 + 3 * k : 6 + 3 * k]
         return out
 
+    def open_places(self, rows: np.ndarray) -> np.ndarray:
+        """The tokens that may have a tag other than out; for the others, out surely scores higher.
+
+        Were such a token not out, making it out (and beginning anew behind it, should
+        the next be inside) would gain: by its own scores it loses more than steps can give.
+        """
+        next_inside = np.r_[rows[1:, INSIDE] - rows[1:, BEGIN], -np.inf] + self.inside
+        most = rows[:, 1:].max(1) - rows[:, 0] + self.before + np.maximum(self.after, next_inside)
+        return np.flatnonzero(most >= -1e-6)
+
     def decode(self, text: str, spans: list[tuple[int, int]]) -> list[int]:
         """The likeliest tags of a whole text, as ``RandomField.decode``."""
-        (oo, ob, oi), (bo, bb, bi), (io, ib, ii) = self.steps
         rows = self.scores(text, spans)
-        highest = max(ob, oi, bo, bb, bi, io, ib, ii) - oo
-        if ((rows[:, 1:].max(1) - rows[:, 0]) + 2 * max(0.0, highest) < 0).all():
-            return [OUT] * len(spans)  # a tag that isn't out loses wherever it stands
-        rows = rows.tolist()
+        tags = [OUT] * len(rows)
+        for k, tag in self._tagged(rows):
+            tags[k] = tag
+        return tags
+
+    def found(self, text: str) -> list[tuple[int, int]]:
+        """Where the likeliest tags of a whole text have a secret."""
+        at, starts, ends = self._tokens(text)
+        spans: list[tuple[int, int]] = []
+        if len(at):
+            for k, tag in self._tagged(self._scores(text, at, starts, ends)):
+                if tag == BEGIN:
+                    spans.append((int(starts[k]), int(ends[k])))
+                elif spans:
+                    spans[-1] = (spans[-1][0], int(ends[k]))
+        return spans
+
+    def _tagged(self, rows: np.ndarray) -> list[tuple[int, int]]:
+        """The tokens that aren't out, with their tags.
+
+        Tokens that are surely out part the text into stretches, which are decoded by themselves.
+        """
+        open_ = self.open_places(rows)
+        if not len(open_):
+            return []
+        found = []
+        for stretch in np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1):
+            first, last = int(stretch[0]), int(stretch[-1])
+            tags = self._best(rows[first : last + 1].tolist(), first > 0, last + 1 < len(rows))
+            found += [(first + k, tag) for k, tag in enumerate(tags) if tag != OUT]
+        return found
+
+    def _best(self, rows: list[list[float]], after_out: bool, before_out: bool) -> list[int]:
+        """The likeliest tags of a stretch (Viterbi), between tokens that are out or a text's ends."""
+        (oo, ob, _), (bo, bb, bi), (io, ib, ii) = self.steps
         o, b, i = rows[0][0], rows[0][1], -1e9
+        if after_out:
+            o, b = o + oo, b + ob
         back = []
         for so, sb, si in rows[1:]:
-            to_o, to_b, to_i = (o + oo, OUT), (o + ob, OUT), (o + oi, OUT)
+            to_o, to_b, to_i = (o + oo, OUT), (o + ob, OUT), (b + bi, BEGIN)
             if b + bo > to_o[0]:
                 to_o = (b + bo, BEGIN)
             if i + io > to_o[0]:
@@ -282,18 +427,24 @@ class Decoder:
                 to_b = (b + bb, BEGIN)
             if i + ib > to_b[0]:
                 to_b = (i + ib, INSIDE)
-            if b + bi > to_i[0]:
-                to_i = (b + bi, BEGIN)
             if i + ii > to_i[0]:
                 to_i = (i + ii, INSIDE)
             back.append((to_o[1], to_b[1], to_i[1]))
             o, b, i = to_o[0] + so, to_b[0] + sb, to_i[0] + si
+        if before_out:
+            o, b, i = o + oo, b + bo, i + io
         tags = [max((o, -OUT), (b, -BEGIN), (i, -INSIDE))[1] * -1]
         for arrows in reversed(back):
             tags.append(arrows[tags[-1]])
         return tags[::-1]
 
 
+@lru_cache(1)
+def _decoder(weights: bytes, steps: bytes) -> Decoder:
+    """One for all tasks of a worker with the same field, so that they share what is known of tokens."""
+    return Decoder(RandomField(np.frombuffer(weights).reshape(-1, 3), np.frombuffer(steps).reshape(3, 3)))
+
+
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis, keepdims=True))).squeeze(axis)
@@ -437,13 +588,7 @@ def fit_secrets(documents: DataFrame) -> RandomField:
 def added_spans(field: RandomField | Decoder, text: str, base: list[Span]) -> list[Span]:
     """Secrets that the field finds outside all base spans, anywhere in the text."""
     decoder = field if isinstance(field, Decoder) else Decoder(field)
-    spans: list[Span] = []
-    tokens = token_spans(text)
-    for (a, b), tag in zip(tokens, decoder.decode(text, tokens) if tokens else []):
-        if tag == BEGIN:
-            spans.append((a, 3, b))
-        elif tag == INSIDE and spans:
-            spans[-1] = (spans[-1][0], 3, b)
+    spans = [(a, 3, b) for a, b in decoder.found(text)]
     return [x for x in spans if not any(x[0] < b and a < x[2] for a, _, b in base)]
 
 
@@ -464,7 +609,7 @@ def find_secrets(documents: DataFrame, field: RandomField) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        decoder = Decoder(shared.value)
+        decoder = _decoder(shared.value.weights.tobytes(), shared.value.steps.tobytes())
         for batch in batches:
             rows = []
             for text in batch["text"].fillna(""):

@@ -596,3 +596,27 @@ def test_extra_columns_with_clashing_names_pass(spark, documents):
     assert near_dedup.near_duplicates(more).count() == n
     assert sharding.assign_shards(more, shards=3, rounds=1).count() == n
     assert mixing.mixed_documents(more).columns == more.columns
+
+
+def test_secrets_of_many_tokens_at_once():
+    """Tokens described together are as by themselves, and only what may be a secret goes through Viterbi."""
+    rng = random.Random(3)
+    field = secrets.RandomField(np.random.RandomState(1).normal(0, 0.5, (secrets.WIDTH, 3)), np.array([[1, -1, -1e9], [-1, -1, -0.5], [-1, 0, 1]]))
+    strange = ["a1B2c3d4E5", "password=", "Token: ", "AKIA", "İßΣ", "²٣Ⅷ", "(", "}{", "...", "'", "  \n", "\ud800", "x_y-z/+", "%!"]
+    for _ in range(300):
+        text = "".join(rng.choice([*strange, " word", " the", "e"]) for _ in range(rng.randrange(1, 60)))
+        decoder = secrets.Decoder(field)
+        for s in secrets.sequences(text):
+            tokens = [text[a:b] for a, b in s.spans]
+            own, beside = secrets.described_tokens(tokens)
+            assert own.tolist() == [secrets._own(t) for t in tokens]
+            assert beside.tolist() == [secrets._beside(t) for t in tokens]
+            scores = field.scores(s)
+
+            def worth(tags):
+                return sum(scores[range(len(tags)), tags]) + sum(field.steps[a, b] for a, b in zip(tags, tags[1:]))
+
+            assert np.isclose(worth(decoder.decode(text, s.spans)), worth(field.decode(s)))
+    rows = np.array([[9.0, 0, 0]] * 20 + [[0, 9.0, 0]] + [[9.0, 0, 0]] * 20)
+    assert len(secrets.Decoder(field).open_places(rows)) < 4 and secrets.Decoder(field)._tagged(rows) == [(20, secrets.BEGIN)]
+    assert secrets.Decoder(field).found("") == secrets.Decoder(field).found(" \n ") == []
