@@ -10,11 +10,12 @@ from functools import cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from tokenizers import Encoding, Tokenizer
+from tokenizers import Encoding, Tokenizer, pre_tokenizers
 
 from subscore.llm.common import bounded_batches
 
-CHUNK = 4_000  # characters
+CHUNK = 4_000  # characters; longer texts are spliced
+PIECE = 1_000  # characters of a chunk: the library takes less time a character for short ones
 OVERLAP = 64  # at first; doubled until both chunks have a boundary in it
 CACHED_UNITS = 500_000
 
@@ -58,6 +59,68 @@ def word_starts(encoding: Encoding, begin: int = 0, end: int | None = None) -> d
     return {offset(k): k for k in range(low, high) if not k or words[k - low + first] != words[k - low + first - 1]}
 
 
+def token_sizes(tokenizer: Tokenizer) -> np.ndarray | None:
+    """UTF-8 bytes that each token stands for; None if the tokenizer isn't one that keeps all bytes of a text.
+
+    Only then does the sum of sizes tell where a token begins. Known to be such: byte-level
+    words as they stand in the text, without normaliser, prefix or padding at added tokens.
+    """
+    if tokenizer.normalizer is not None or tokenizer.post_processor is not None:
+        return None
+    if not isinstance(tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or tokenizer.pre_tokenizer.add_prefix_space:
+        return None
+    added = tokenizer.get_added_tokens_decoder()
+    if any(t.lstrip or t.rstrip for t in added.values()):
+        return None
+    alphabet = set(pre_tokenizers.ByteLevel.alphabet())  # a character for each byte
+    sizes = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+    for token, k in tokenizer.get_vocab(with_added_tokens=True).items():
+        if k in added:
+            sizes[k] = len(added[k].content.encode())
+        elif alphabet.issuperset(token):
+            sizes[k] = len(token)
+    return sizes
+
+
+@cache
+def _sizes(path: str) -> np.ndarray | None:
+    return token_sizes(_tokenizer(path))
+
+
+def fast_spliced_count(tokenizer: Tokenizer, text: str, sizes: np.ndarray, chunk: int = PIECE, overlap: int = OVERLAP) -> int:
+    """As ``spliced_count``, with chunks that the library encodes without offsets, which takes it less time.
+
+    Only a stretch at a chunk's end is encoded with them, from a space on that surely
+    begins a word. Its last boundary that is ``_margin`` before the end is one of the
+    whole text, and the next chunk begins there: what both chunks have behind it is
+    counted with the next one. How many tokens stand before it follows from ``sizes``,
+    those of ``token_sizes``. Where any of this can't be found, the rest of the text
+    goes through ``spliced_count``.
+    """
+    margin, begin, total = _margin(tokenizer), 0, 0
+    while begin + chunk < len(text):
+        piece = text[begin : begin + chunk]
+        sure = None
+        for sure in UnitCounts.sure_space.finditer(piece, chunk - margin - 2 * overlap, chunk - margin - overlap):
+            break
+        if sure is None:
+            break
+        stretch = tokenizer.encode(piece[sure.start() :], add_special_tokens=False)
+        boundaries = word_starts(stretch, 1, chunk - margin - sure.start())
+        if not boundaries:
+            break
+        cut = sure.start() + max(boundaries)
+        (fast,) = tokenizer.encode_batch_fast([piece], add_special_tokens=False)
+        ends = np.cumsum(sizes[np.array(fast.ids, np.int64)])
+        before = len(piece[:cut].encode())
+        k = int(np.searchsorted(ends, before))
+        if ends[-1] != before + len(piece[cut:].encode()) or ends[k] != before:
+            break
+        total += k + 1
+        begin += cut
+    return total + spliced_count(tokenizer, text[begin:], overlap=overlap)
+
+
 def spliced_count(tokenizer: Tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
     """Tokens of ``text``, encoded piece by piece.
 
@@ -146,7 +209,7 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, chunk: int = CHUNK,
     """``doc_id``, ``n_bytes`` and ``n_tokens`` of every row; null counts as empty.
 
     Texts beyond ``chunk`` characters are encoded in overlapping chunks (on the given
-    tables half of all text), so that
+    tables half of all text) of ``PIECE`` characters, so that
     memory doesn't grow with a text's length; shorter ones by ``UnitCounts``.
     Counts are those of the library for the whole text, without begin, end or
     added special tokens. The file is opened by each task: ``tokenizer_path``
@@ -157,7 +220,7 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, chunk: int = CHUNK,
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = _tokenizer(tokenizer_path)
-        units = _units(tokenizer_path)
+        units, token_bytes = _units(tokenizer_path), _sizes(tokenizer_path)
         for batch in batches:
             texts = batch["text"].fillna("").tolist()
             short = [k for k, t in enumerate(texts) if len(t) <= chunk]
@@ -166,7 +229,10 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, chunk: int = CHUNK,
                 counts[k] = n
             for k, text in enumerate(texts):
                 if len(text) > chunk:
-                    counts[k] = spliced_count(tokenizer, text, chunk, overlap)
+                    if token_bytes is None:
+                        counts[k] = spliced_count(tokenizer, text, chunk, overlap)
+                    else:
+                        counts[k] = fast_spliced_count(tokenizer, text, token_bytes, min(chunk, PIECE), overlap)
             sizes = [len(t.encode("utf-8", "surrogatepass")) for t in texts]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": sizes, "n_tokens": counts})
 
