@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subscore.functions.positions import with_positions
-from subscore.llm.common import ROW, bounded_batches, numbered, stored
+from subscore.llm.common import ROW, bounded_batches, located, numbered, stored
 from subscore.session import shared_folder
 
 BLOCK = 16  # documents
@@ -200,13 +200,21 @@ def mixed_documents(
     reader may take the files in any order.
 
     Slots are numbered without gaps, so that equal ranges of them are the files: no
-    sample of the texts is taken to find the ranges.
+    sample of the texts is taken to find the ranges. Rows of Parquet files are known by
+    their places there; of others, a numbered copy is stored.
     """
-    rows = stored(numbered(documents), "rows")
-    places = schedule(rows, weights, block).select(F.col(ROW), F.col("slot").alias("_slot"), F.col("place").alias("_place"))
-    places = stored(places, "places")
+    rows, ids, key = located(documents), None, ["_file", "_index"]
+    if rows is not None:
+        ids = stored(numbered(rows.select(*key, "doc_id", "source")), "ids")
+        if not ids.groupBy(*key).count().filter("count > 1").isEmpty():
+            rows = None
+    if rows is None:
+        rows = ids = stored(numbered(documents), "rows")
+        key = [ROW]
+    slot = schedule(ids, weights, block).select(F.col(ROW), F.col("slot").alias("_slot"), F.col("place").alias("_place"))
+    places = stored(ids.select(ROW, *[k for k in key if k != ROW]).join(slot, ROW).drop(*({ROW} - {*key})), "places")
     slots = (places.agg(F.max("_slot")).first()[0] or 0) + 1
     files = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.join(places, ROW).repartitionById(files, F.floor(F.col("_slot") * files / slots).cast("int"))
+    dealt = rows.join(places, key).repartitionById(files, F.floor(F.col("_slot") * files / slots).cast("int"))
     place = [(F.col("_slot") * block + F.col("_place")).alias(order)] if order else []
     return dealt.sortWithinPartitions("_slot", "_place").select(*documents.columns, *place)

@@ -168,3 +168,22 @@ def test_shards_run_through_the_mixture(spark, documents, tmp_path):
     turned = mixed.withColumn("_mix", -F.col("_mix"))
     here, there = (rows(corpus_pipeline.sharding(spark, d, str(tmp_path))) for d in (mixed, turned))
     assert len(here) == len(there) == len(order) and here != there
+
+
+def test_mixing_stores_no_copy_of_texts_from_files(spark, documents, monkeypatch):
+    kept = []
+
+    def stored(df, name, store=mixing.stored):
+        kept.append(df.columns)
+        return store(df, name)
+
+    monkeypatch.setattr(mixing, "stored", stored)
+    whole = documents.select(*sorted(documents.columns))
+    same_rows = rows(whole)
+    assert rows(mixing.mixed_documents(whole)) == same_rows
+    assert kept and not any("text" in columns for columns in kept)
+    # Rows that were multiplied since they were read, or that no file has, are still all there.
+    twice = whole.withColumn("_k", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_k")
+    assert mixing.mixed_documents(twice).count() == 2 * len(same_rows)
+    made = spark.createDataFrame(whole.collect(), whole.schema)
+    assert rows(mixing.mixed_documents(made)) == same_rows
