@@ -167,3 +167,32 @@ def test_unknown_categories_and_bounds(spark, data, fitted):
     assert model.predict(fitted, odd).filter("p1 between 0 and 1").count() == 3
     with pytest.raises(ValueError):
         boosting.train_boosted(data, replace(SMALL, bins=255))
+
+
+def test_many_blocks_and_partitions_grow_the_same_trees(data, monkeypatch):
+    settings = replace(SMALL, row_sample=0.6, column_sample=0.5, trees=5)
+    whole = boosting.train_boosted(data, settings)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(boosting, "TASK_ROWS", 60)
+    for summed_by_driver in (64, 1):
+        monkeypatch.setattr(boosting, "SUMMED_BY_DRIVER", summed_by_driver)
+        dealt = boosting.train_boosted(data, settings)
+        for a, b in zip(whole.trees, dealt.trees, strict=True):
+            assert all(np.array_equal(x, y) for x, y in zip(vars(a).values(), vars(b).values()))
+
+
+def test_a_level_of_the_classifier_is_one_job_of_one_stage(spark, data):
+    context = spark.sparkContext
+
+    def jobs_and_stages(trees):
+        group = f"trees {trees}"
+        context.setJobGroup(group, group)
+        settings = model.ModelSettings(trees=trees, depth=3, row_sample=1.0, column_sample=1.0, features=SMALL.features)
+        assert len(model.train_classifier(data, settings).trees) == trees
+        context.setJobGroup("", "")
+        found = [context.statusTracker().getJobInfo(k) for k in context.statusTracker().getJobIdsForGroup(group)]
+        return len(found), sum(len(j.stageIds) for j in found)
+
+    (few, few_stages), (more, more_stages) = jobs_and_stages(1), jobs_and_stages(5)
+    # A later stage may list the shuffle before it, which isn't run again.
+    assert 0 < more - few <= 4 * 3 and more_stages - few_stages <= 2 * 4 * 3
