@@ -10,6 +10,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -344,25 +345,24 @@ class Decoder:
 
     def scores(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
         """As ``RandomField.scores`` of the text's sequence."""
-        return self._scores(text, *self._tokens(text))
+        return self._scores(text, *self._tokens(_PIECE.findall(text)))
 
-    def _tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of all tokens the row of the table, the start and the end."""
-        pieces = _PIECE.findall(text)
+    def _tokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of all tokens the row of the table, and which piece of the text they are."""
         at = np.array(self._places(pieces), np.int64)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        ends, tokens = np.cumsum(sizes), at >= 0
-        starts = ends - sizes
-        return at[tokens], starts[tokens], ends[tokens]
+        tokens = np.flatnonzero(at >= 0)
+        return at[tokens], tokens
 
-    def _scores(self, text: str, at: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _scores(self, text: str, at: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         n = len(at)
         around = np.zeros(n + 4, np.int64)
         around[2:-2] = at
-        out = self.table[at, :3] + (self.constant + np.array(_file(text), float) @ self.file)
-        out[1:] += (starts[1:] == ends[:-1])[:, None] * self.glued
+        read = self.table.take(around, 0)
+        out = read[2:-2, :3] + (self.constant + np.array(_file(text), float) @ self.file)
+        # Pieces leave nothing out: tokens are glued where no white space is a piece between them.
+        out[1:] += (np.diff(tokens) == 1)[:, None] * self.glued
         for k, shift in enumerate((0, 1, 3, 4)):
-            out += self.table[around[shift : shift + n], 3 + 3 * k : 6 + 3 * k]
+            out += read[shift : shift + n, 3 + 3 * k : 6 + 3 * k]
         return out
 
     def open_places(self, rows: np.ndarray) -> np.ndarray:
@@ -385,14 +385,18 @@ class Decoder:
 
     def found(self, text: str) -> list[tuple[int, int]]:
         """Where the likeliest tags of a whole text have a secret."""
-        at, starts, ends = self._tokens(text)
+        pieces = _PIECE.findall(text)
+        at, tokens = self._tokens(pieces)
+        tagged = self._tagged(self._scores(text, at, tokens)) if len(at) else []
         spans: list[tuple[int, int]] = []
-        if len(at):
-            for k, tag in self._tagged(self._scores(text, at, starts, ends)):
+        if tagged:
+            ends = list(accumulate(map(len, pieces)))
+            for k, tag in tagged:
+                piece = int(tokens[k])
                 if tag == BEGIN:
-                    spans.append((int(starts[k]), int(ends[k])))
+                    spans.append((ends[piece] - len(pieces[piece]), ends[piece]))
                 elif spans:
-                    spans[-1] = (spans[-1][0], int(ends[k]))
+                    spans[-1] = (spans[-1][0], ends[piece])
         return spans
 
     def _tagged(self, rows: np.ndarray) -> list[tuple[int, int]]:

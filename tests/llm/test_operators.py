@@ -620,3 +620,20 @@ def test_secrets_of_many_tokens_at_once():
     rows = np.array([[9.0, 0, 0]] * 20 + [[0, 9.0, 0]] + [[9.0, 0, 0]] * 20)
     assert len(secrets.Decoder(field).open_places(rows)) < 4 and secrets.Decoder(field)._tagged(rows) == [(20, secrets.BEGIN)]
     assert secrets.Decoder(field).found("") == secrets.Decoder(field).found(" \n ") == []
+
+
+def test_found_secrets_are_the_spans_of_the_fields_tags():
+    draw = np.random.default_rng(3)
+    texts = ["", " \t", "a=b", "İ key: 'x9'  y!", "x9 y  z=(q7)", " token = abc123DEF, then\nmore "]
+    for _ in range(20):
+        field = secrets.RandomField(draw.normal(size=(secrets.WIDTH, 3)), np.array([[1.0, 0, -1e9], [0, 0, 1], [0, 0, 1]]))
+        decoder = secrets.Decoder(field)
+        for text in texts:
+            expected = []
+            for s in secrets.sequences(text):
+                for (a, b), tag in zip(s.spans, field.decode(s), strict=True):
+                    if tag == secrets.BEGIN:
+                        expected.append((a, b))
+                    elif tag == secrets.INSIDE:
+                        expected[-1] = (expected[-1][0], b)
+            assert decoder.found(text) == expected
