@@ -412,6 +412,17 @@ def test_repeated_passages_equal_brute_force(documents, empty, case_rows, monkey
     assert suffix_dedup.repeated_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("turn", [lambda k: k + 1, lambda k: (k ^ 1) + 1], ids=["same", "swapped"])
+def test_a_byte_before_the_anchor_is_not_taken_for_the_number_of_a_run(turn):
+    """Sorted stretches with nothing in common: each is a run of its own, the first has the number 1."""
+    rng = random.Random(6)
+    tails = sorted(rng.randbytes(400) for _ in range(254))
+    texts = [bytes([turn(k)]) + tail for k, tail in enumerate(tails)]
+    assert not suffix_dedup.repeated_starts(np.zeros(254, int), texts, np.ones(254, int)).any()
+    twice = [*texts, texts[7]]
+    assert suffix_dedup.repeated_starts(np.zeros(255, int), twice, np.ones(255, int)).all(1).nonzero()[0].tolist() == [7, 254]
+
+
 def test_planted_passages_on_either_side_of_the_length(spark):
     """Passages of over 50 words: each byte of those of 400 bytes or more goes, of shorter ones none."""
     rng = random.Random(4)
