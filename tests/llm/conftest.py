@@ -51,10 +51,16 @@ def case_rows():
 
 
 @pytest.fixture(scope="session")
-def documents(spark, tmp_path_factory):
+def documents_path(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
     spark.createDataFrame(cases(), DOCUMENTS).repartition(5).write.parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def documents(spark, documents_path):
+    """Read anew for each module: a DataFrame that was once collected keeps how its scan was split then."""
+    return spark.read.parquet(documents_path)
 
 
 @pytest.fixture(scope="session")
